@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions.stopwords import HEBREW, StopWords
+from lexiloom.session import spread
 
 # The stop list of the checks: small, so that both sides can state it.
 ENGLISH = (
@@ -25,7 +26,7 @@ def document_year() -> Column:
 
 
 def dated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", document_year().alias("year"), "lang", "text")
 
 
@@ -58,8 +59,8 @@ def sql_words(table_name: str = "documents", keys: str = "doc_id, lang") -> str:
 
 
 SQL_RAW = """raw_uni AS (SELECT doc_id, lang, year, unnest(t) AS word FROM docs),
-    idx AS (SELECT *, unnest(range(1, len(t))) AS i FROM docs),
-    raw_bi AS (SELECT doc_id, lang, year, i, t[i] AS r1, t[i + 1] AS r2 FROM idx)"""
+    raw_bi AS (SELECT doc_id, lang, year, unnest(t[1:len(t) - 1]) AS r1, unnest(t[2:]) AS r2
+               FROM docs WHERE len(t) > 1)"""
 
 SQL_BI = f"""bi AS (SELECT * FROM (
       SELECT doc_id, lang, year, {SQL_DECADE} AS decade, {sql_clean('r1')} AS w1, {sql_clean('r2')} AS w2

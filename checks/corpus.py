@@ -16,21 +16,20 @@ from lexiloom.operators.ngrams import (
     unigram_counts,
     unigram_counts_with_totals,
     valid_bigrams,
+    valid_document_bigrams,
     valid_unigrams,
     with_decade,
 )
 from lexiloom.operators.topk import top_k
 from lexiloom.plans.collocations import collocations, scored_collocations
 from lexiloom.session import materialize, work_path
-from lexiloom.sources.ngrams import (
+from lexiloom.sources.documents import (
     document_bigrams,
-    document_ngrams,
     document_unigrams,
-    read_collocations,
-    read_ngrams,
+    document_words,
     word_pairs,
-    write_tsv,
 )
+from lexiloom.sources.ngrams import read_collocations, read_ngrams, write_tsv
 
 K = 100
 
@@ -44,7 +43,8 @@ def raw_unigrams(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bigrams(spark: SparkSession, sf: str) -> DataFrame:
-    return valid_bigrams(raw_bigrams(spark, sf), c.STOP)
+    docs = c.dated_documents(spark, sf)
+    return with_decade(valid_document_bigrams(docs, ["year", "lang"], c.STOP))
 
 
 def unigrams(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,7 +85,7 @@ def _sql_line(form: str) -> str:
 
 def ngram_lines(spark: SparkSession, sf: str, n: int) -> DataFrame:
     """One line per word (pair) of every document, in one of the forms above."""
-    words = document_ngrams(c.dated_documents(spark, sf), ["doc_id", "year"])
+    words = document_words(c.dated_documents(spark, sf), ["doc_id", "year"])
     grams = word_pairs("words") if n == 2 else F.col("words")
     rows = words.select("doc_id", "year", F.posexplode(grams).alias("i", "g"))
     if n == 2:
@@ -111,7 +111,8 @@ def ngram_parse(spark: SparkSession, sf: str, n: int) -> DataFrame:
 
 def _sql_parse(n: int) -> str:
     forms = " ".join(f"WHEN {i} THEN {_sql_line(f)}" for i, f in enumerate(LINE_FORMS))
-    gram = "t[i + 1]" if n == 1 else "t[i + 1] || ' ' || t[i + 2]"
+    gram = "r1" if n == 1 else "r1 || ' ' || r2"
+    lists = "unnest(t) AS r1" if n == 1 else "unnest(t[1:len(t) - 1]) AS r1, unnest(t[2:]) AS r2"
     line = (
         r"rtrim(line, chr(9))"
         if n == 2
@@ -121,7 +122,8 @@ def _sql_parse(n: int) -> str:
     number = r"regexp_full_match(f[{0}], '[+-]?[0-9]+')"
     words = "AND len(regexp_split_to_array(f[1], '[ \\t\\n\\r]+')) = 2" if n == 2 else ""
     return rf"""WITH {c.sql_words()},
-    pos AS (SELECT doc_id, year, t, unnest(range(0, len(t) - {n - 1})) AS i FROM docs),
+    pos AS (SELECT doc_id, year, unnest(range(0, len(t) - {n - 1})) AS i, {lists}
+            FROM docs WHERE len(t) >= {n}),
     src AS (SELECT doc_id, i, year, i % 4 + 1 AS n, {gram} AS g FROM pos),
     lines AS (SELECT CASE (doc_id + i) % {len(LINE_FORMS)} {forms} END AS line FROM src),
     parts AS (SELECT string_split({line}, chr(9)) AS f FROM lines),
@@ -156,7 +158,7 @@ def clean_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def valid_bigram_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = bigrams(spark, sf)
+    rows = valid_bigrams(raw_bigrams(spark, sf), c.STOP)
     return rows.groupBy("lang", "w1", "w2").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -210,7 +212,7 @@ def collocation_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def llr_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(scored_collocations(raw_bigrams(spark, sf), raw_unigrams(spark, sf), c.STOP))
+    return _rounded(scored_collocations(bigrams(spark, sf), unigrams(spark, sf)))
 
 
 def _topk(scored: DataFrame, period: str) -> DataFrame:
@@ -219,13 +221,13 @@ def _topk(scored: DataFrame, period: str) -> DataFrame:
 
 
 def collocations_topk(spark: SparkSession, sf: str) -> DataFrame:
-    scored = scored_collocations(raw_bigrams(spark, sf), raw_unigrams(spark, sf), c.STOP)
+    scored = scored_collocations(bigrams(spark, sf), unigrams(spark, sf))
     return _topk(scored, "decade")
 
 
 def collocations_by_lang(spark: SparkSession, sf: str) -> DataFrame:
     scored = scored_collocations(
-        raw_bigrams(spark, sf), raw_unigrams(spark, sf), c.STOP, period="lang"
+        bigrams(spark, sf), unigrams(spark, sf), period="lang"
     )
     return _topk(scored, "lang")
 
@@ -233,21 +235,21 @@ def collocations_by_lang(spark: SparkSession, sf: str) -> DataFrame:
 def collocations_checkpointed(spark: SparkSession, sf: str) -> DataFrame:
     """Every stage written and read back, the score table included."""
     scored = scored_collocations(
-        raw_bigrams(spark, sf), raw_unigrams(spark, sf), c.STOP, stages="all"
+        bigrams(spark, sf), unigrams(spark, sf), stages="all"
     )
     return _topk(materialize(scored, "scored"), "decade")
 
 
 def collocations_fused(spark: SparkSession, sf: str) -> DataFrame:
     scored = scored_collocations(
-        raw_bigrams(spark, sf), raw_unigrams(spark, sf), c.STOP, stages="none"
+        bigrams(spark, sf), unigrams(spark, sf), stages="none"
     )
     return _topk(scored, "decade")
 
 
 def collocations_tsv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Scored pairs through text files: sorted write, tolerant read, ranking."""
-    scored = scored_collocations(raw_bigrams(spark, sf), raw_unigrams(spark, sf), c.STOP)
+    scored = scored_collocations(bigrams(spark, sf), unigrams(spark, sf))
     path = work_path(spark, "scored-tsv")
     columns = ["decade", "w1", "w2", "llr", "c12", "c1", "c2"]
     write_tsv(scored, path, columns, order=["decade", F.desc("llr"), "w1", "w2"])
@@ -263,9 +265,8 @@ def collocations_from_lines(spark: SparkSession, sf: str) -> DataFrame:
         folders[n] = work_path(spark, f"lines{n}")
         ngram_lines(spark, sf, n).write.text(folders[n])
     scored = scored_collocations(
-        with_decade(parse_ngrams(read_ngrams(spark, [folders[2]]), 2)),
-        with_decade(parse_ngrams(read_ngrams(spark, [folders[1]]), 1)),
-        c.STOP,
+        with_decade(valid_bigrams(parse_ngrams(read_ngrams(spark, [folders[2]]), 2), c.STOP)),
+        with_decade(valid_unigrams(parse_ngrams(read_ngrams(spark, [folders[1]]), 1), c.STOP)),
     )
     return _topk(scored, "decade")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # What a cleaned token may keep, and what counts as white space or control.
 NON_WORD = r"[^\p{InHebrew}a-zA-Z\p{Nd}]+"
-DIGITS = r"^[0-9]+\z"
+DIGITS_OR_EMPTY = r"^[0-9]*\z"
 INTEGER = r"^[+-]?[0-9]+\z"
 WHITESPACE = " \t\n\x0b\f\r"
 CONTROL = "".join(map(chr, range(0x21)))
@@ -38,9 +38,9 @@ def parse_int(text: Column, dtype: str = "int") -> Column:
     return F.when(text.rlike(INTEGER), text.try_cast(dtype))
 
 
-def is_number(word: Column) -> Column:
-    """Only ASCII digits; digits of other scripts do not make a number."""
-    return word.rlike(DIGITS)
+def is_word(token: Column) -> Column:
+    """Neither empty nor only ASCII digits; digits of other scripts do not make a number."""
+    return ~token.rlike(DIGITS_OR_EMPTY)
 
 
 def decade(year: Column) -> Column:

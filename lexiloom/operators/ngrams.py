@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.stopwords import StopWords, is_stopword
 from lexiloom.functions.text import (
     clean_token,
     decade,
-    is_number,
+    is_word,
     parse_int,
     split_fields,
     split_words,
     strip_control,
 )
+from lexiloom.sources.documents import document_words, word_pairs
 
 
 def parse_ngrams(lines: DataFrame, n: int) -> DataFrame:
@@ -42,13 +43,34 @@ def parse_ngrams(lines: DataFrame, n: int) -> DataFrame:
     return words.select("*", F.col("w")[0].alias("w1"), F.col("w")[1].alias("w2")).drop("w")
 
 
+def _is_valid(token: Column, stop: StopWords) -> Column:
+    return is_word(token) & ~is_stopword(token, stop)
+
+
 def valid_bigrams(df: DataFrame, stop: StopWords) -> DataFrame:
-    """Clean ``w1, w2`` and drop pairs with an empty, all-digit or stop word."""
-    cleaned = df.withColumns({"w1": clean_token(F.col("w1")), "w2": clean_token(F.col("w2"))})
-    for name in ("w1", "w2"):
-        word = F.col(name)
-        cleaned = cleaned.filter((word != "") & ~is_number(word) & ~is_stopword(word, stop))
-    return cleaned
+    """Clean ``w1, w2`` and drop pairs with an empty, all-digit or stop word.
+
+    The cleaned pair passes through ``inline``: Spark does not push the filter below a
+    generator, where it would run the cleaning pattern once for every condition.
+    """
+    rest = [F.col(name) for name in df.columns if name not in ("w1", "w2")]
+    pair = F.struct(clean_token(F.col("w1")).alias("w1"), clean_token(F.col("w2")).alias("w2"))
+    cleaned = df.select(*rest, F.inline(F.array(pair)))
+    return cleaned.filter(_is_valid(F.col("w1"), stop) & _is_valid(F.col("w2"), stop))
+
+
+def valid_document_bigrams(
+    docs: DataFrame, keep: list[str], stop: StopWords, text: str = "text"
+) -> DataFrame:
+    """The valid pairs of running text, same rows as ``valid_bigrams(document_bigrams(..))``.
+
+    Words are cleaned and checked before they are paired, so once and not twice each.
+    """
+    tokens = F.transform("words", clean_token)
+    valid = F.transform(tokens, lambda w: F.when(_is_valid(w, stop), w))
+    words = document_words(docs, keep, text).select(*keep, valid.alias("words"))
+    pairs = words.select(*keep, F.inline(word_pairs("words")), F.lit(1).alias("count"))
+    return pairs.filter("w1 IS NOT NULL AND w2 IS NOT NULL")
 
 
 def valid_unigrams(df: DataFrame, stop: StopWords) -> DataFrame:

@@ -50,3 +50,12 @@ def materialize(df: DataFrame, label: str, root: str | None = None) -> DataFrame
     path = work_path(spark, label, root)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Shuffle a scan with fewer splits than cores, so that no core idles.
+
+    Large tables have more splits than cores and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
