@@ -15,6 +15,7 @@ from lexiloom.functions.text import (
     split_words,
     strip_control,
 )
+from lexiloom.operators.once import compute_once
 from lexiloom.sources.documents import document_words, word_pairs
 
 
@@ -50,12 +51,9 @@ def _is_valid(token: Column, stop: StopWords) -> Column:
 def valid_bigrams(df: DataFrame, stop: StopWords) -> DataFrame:
     """Clean ``w1, w2`` and drop pairs with an empty, all-digit or stop word.
 
-    The cleaned pair passes through ``inline``: Spark does not push the filter below a
-    generator, where it would run the cleaning pattern once for every condition.
+    Words are cleaned once, not once for every condition of the filter.
     """
-    rest = [F.col(name) for name in df.columns if name not in ("w1", "w2")]
-    pair = F.struct(clean_token(F.col("w1")).alias("w1"), clean_token(F.col("w2")).alias("w2"))
-    cleaned = df.select(*rest, F.inline(F.array(pair)))
+    cleaned = compute_once(df, w1=clean_token(F.col("w1")), w2=clean_token(F.col("w2")))
     return cleaned.filter(_is_valid(F.col("w1"), stop) & _is_valid(F.col("w2"), stop))
 
 
