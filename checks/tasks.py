@@ -72,12 +72,12 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select(F.concat(F.lit("doc://"), "doc_id").alias("url"), "text")
 
 
-# --- manifests: one per language, so that one app has most of the lines -----------------------
+# --- manifests: an app per language, so that one app has most of the lines --------------------
 
 
-def write_manifests(spark: SparkSession, sf: str) -> str:
+def task_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Four task lines per document; the fourth is broken in some way, or asks for document 0."""
-    docs = c.table(spark, sf, "documents").select("lang", "doc_id")
+    docs = c.table(spark, sf, "documents").select("lang", "source", "doc_id")
     url = F.concat(F.lit("doc://"), "doc_id")
     last = F.get(
         F.array(
@@ -96,19 +96,33 @@ def write_manifests(spark: SparkSession, sf: str) -> str:
         F.concat(F.lit("DEPENDENCY\t"), url),
         last,
     )
-    rows = docs.select("lang", "doc_id", F.posexplode(lines).alias("k", "value"))
+    return docs.select("lang", "source", "doc_id", F.posexplode(lines).alias("k", "value"))
+
+
+def write_manifests(spark: SparkSession, sf: str) -> str:
+    """Sorted files in a folder per language: an app is a folder."""
+    rows = task_lines(spark, sf)
     path = work_path(spark, "manifests")
-    ordered = rows.repartition("lang").sortWithinPartitions("lang", "doc_id", "k")
-    ordered.select("lang", "value").write.partitionBy("lang").text(path)
+    ordered = rows.orderBy("lang", "doc_id", "k").select("lang", "value")
+    ordered.write.partitionBy("lang").text(path)
+    return path
+
+
+def write_messages(spark: SparkSession, sf: str) -> str:
+    """For the streams, a file per document source: a file is a message and an app."""
+    rows = task_lines(spark, sf)
+    path = work_path(spark, "messages")
+    placed = rows.repartition("source").sortWithinPartitions("source", "doc_id", "k")
+    placed.select("source", "value").write.partitionBy("source").text(path)
     return path
 
 
-def app_of_file(file: Column | None = None) -> Column:
-    return F.regexp_extract(F.col("file") if file is None else file, "lang=([^/]+)/", 1)
+def folder(name: str) -> Column:
+    return F.regexp_extract(F.col("file"), name + "=([^/]+)/", 1)
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return read_manifest(spark, write_manifests(spark, sf), app_of_file())
+    return read_manifest(spark, write_manifests(spark, sf), folder("lang"))
 
 
 def tasks(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,7 +235,7 @@ def annotation_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_tasks_query(spark: SparkSession, sf: str) -> DataFrame:
-    stream = stream_tasks(spark, write_manifests(spark, sf), app_of_file(), files_per_trigger=1)
+    stream = stream_tasks(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
     out = work_path(spark, "stream-tasks")
     query = (
         stream.drop("arrived")
@@ -235,7 +249,7 @@ def stream_tasks_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_results_query(spark: SparkSession, sf: str) -> DataFrame:
-    stream = stream_tasks(spark, write_manifests(spark, sf), app_of_file(), files_per_trigger=2)
+    stream = stream_tasks(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
     out = work_path(spark, "stream-results")
     state = work_path(spark, "stream-state")
     start_results(stream, documents(spark, sf), ANNOTATORS, out, state).awaitTermination()
@@ -243,7 +257,7 @@ def stream_results_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_progress(spark: SparkSession, sf: str, mode: str) -> DataFrame:
-    stream = stream_tasks(spark, write_manifests(spark, sf), app_of_file(), files_per_trigger=1)
+    stream = stream_tasks(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
     out = work_path(spark, "stream-progress")
     state = work_path(spark, "stream-state")
     start_progress(stream, out, state, mode).awaitTermination()
@@ -274,19 +288,24 @@ QUERIES = {
 
 TAB = "chr(9)"
 
-SQL_MANIFEST = f"""raw AS (
-      SELECT lang, doc_id, unnest([0, 1, 2, 3]) AS k,
+SQL_RAW = f"""raw AS (
+      SELECT lang, source, doc_id, unnest([0, 1, 2, 3]) AS k,
         unnest(['POS' || {TAB} || 'doc://' || doc_id,
                 'CONSTITUENCY    doc://' || doc_id,
                 'DEPENDENCY' || {TAB} || 'doc://' || doc_id,
                 CASE doc_id % 6 WHEN 0 THEN '' WHEN 1 THEN 'POS' WHEN 2 THEN 'pos' || {TAB} || 'doc://' || doc_id
                   WHEN 3 THEN 'ERROR ERROR' WHEN 4 THEN 'POS' || {TAB} || 'doc://' || doc_id || '/missing'
                   ELSE ' POS doc://0 ' END]) AS value
-      FROM documents),
-    manifest AS (SELECT lang AS app_id, value,
-        CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id, k) - 1 AS INTEGER) AS line_no
+      FROM documents)"""
+
+
+def _sql_manifest(app: str) -> str:
+    return f"""{SQL_RAW},
+    manifest AS (SELECT {app} AS app_id, value,
+        CAST(row_number() OVER (PARTITION BY {app} ORDER BY doc_id, k) - 1 AS INTEGER) AS line_no
       FROM raw)"""
 
+
 SQL_TASKS = rf"""parts AS (SELECT app_id, line_no, trim(value, chr(9) || ' ') AS v FROM manifest),
     halves AS (SELECT app_id, line_no, regexp_extract(v, '^[^ \t]*') AS analysis,
         regexp_extract(v, '^[^ \t]*[ \t]+(.*)$', 1) AS rest, regexp_matches(v, '[ \t]') AS complete
@@ -332,12 +351,13 @@ SQL_RESULTS = """results AS (
         CASE WHEN d.url IS NULL THEN 'document not available: ' || t.url END,
         CASE WHEN coalesce(o.output, '') = '' THEN 'empty annotation' END) AS error) e)"""
 
-MANIFEST = f"WITH {SQL_MANIFEST}"
+MANIFEST = f"WITH {_sql_manifest('lang')}"
 TASKS = f"{MANIFEST}, {SQL_TASKS}"
+STREAMED = f"WITH {_sql_manifest('source')}, {SQL_TASKS}"
 LINES = f"WITH {SQL_SENTENCES}, {SQL_LINES}"
 RESULTS = f"{TASKS}, {SQL_SENTENCES}, {SQL_LINES}, {SQL_RESULTS}"
-RESULTS_HASHED = f"""{RESULTS}
-    SELECT app_id, line_no, analysis, url, md5(output) AS output, error, ok FROM results"""
+STREAMED_RESULTS = f"{STREAMED}, {SQL_SENTENCES}, {SQL_LINES}, {SQL_RESULTS}"
+HASHED = "SELECT app_id, line_no, analysis, url, md5(output) AS output, error, ok FROM results"
 
 
 def _sql_lines(column: str) -> str:
@@ -354,7 +374,7 @@ ORACLES = {
         UNION ALL
         SELECT 'web', CAST(page_id * 2 + 1 AS INTEGER), 'POS', url || '$gone',
                'document not available: ' || url || '$gone', NULL FROM pages""",
-    "task_results": RESULTS_HASHED,
+    "task_results": f"{RESULTS} {HASHED}",
     "task_summary": f"""{RESULTS}
         SELECT app_id, line_no, analysis, url, coalesce(error, output) AS result,
                error IS NOT NULL AS is_error FROM results""",
@@ -377,9 +397,9 @@ ORACLES = {
     "annotation_sink": f"""{LINES}
         SELECT analysis, url, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
         FROM per_analysis WHERE line IS NOT NULL GROUP BY ALL""",
-    "stream_tasks": f"{TASKS} SELECT * FROM tasks",
-    "stream_results": RESULTS_HASHED,
-    "stream_progress": f"{TASKS} SELECT app_id, count(*) AS n_tasks FROM tasks GROUP BY ALL",
-    "stream_progress_complete": f"""{TASKS}
+    "stream_tasks": f"{STREAMED} SELECT * FROM tasks",
+    "stream_results": f"{STREAMED_RESULTS} {HASHED}",
+    "stream_progress": f"{STREAMED} SELECT app_id, count(*) AS n_tasks FROM tasks GROUP BY ALL",
+    "stream_progress_complete": f"""{STREAMED}
         SELECT app_id, count(*) AS n_tasks FROM tasks GROUP BY ALL""",
 }

@@ -6,50 +6,57 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexiloom.session import materialize
+
 
 def number_lines(
-    spark: SparkSession, paths: str | list[str], app_id: Column | None = None
+    spark: SparkSession,
+    paths: str | list[str],
+    app_id: Column | None = None,
+    work_dir: str | None = None,
 ) -> DataFrame:
-    """``app_id, line_no, value`` with lines counted from 0 inside every file.
+    """``app_id, line_no, value`` with lines counted from 0 inside every app.
 
-    A large manifest is read in many splits. The splits of a file are counted first;
-    a line's number is the lines of all earlier splits plus its place in its own. Only
-    the split counts are ordered, never the lines.
+    An app is a file, or whatever ``app_id`` (an expression over ``file``) makes of the
+    path; an app of several files counts through them in name order. Large files are
+    read in many splits: the lines are written once with their split and their place in
+    it, the splits are counted, and a line's number is the lines of all earlier splits
+    plus its place. Only the split counts are ordered, never the lines.
     """
-    raw = spark.read.text(paths).select(
+    placed = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     )
+    app = F.col("file") if app_id is None else app_id
+    stored = materialize(placed.select(app.alias("app_id"), "*"), "lines", work_dir)
     earlier = (
-        Window.partitionBy("file")
-        .orderBy("block")
+        Window.partitionBy("app_id")
+        .orderBy("file", "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     splits = (
-        raw.groupBy("file", "block")
+        stored.groupBy("app_id", "file", "block")
         .agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
         .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .select("file", "block", "first", "before")
     )
+    splits = materialize(splits, "splits", work_dir)
     line_no = (F.col("before") + F.col("seq") - F.col("first")).cast("int")
-    app = F.col("file") if app_id is None else app_id
-    return raw.join(splits, ["file", "block"]).select(
-        app.alias("app_id"), line_no.alias("line_no"), "value"
+    return stored.join(splits, ["file", "block"]).select(
+        "app_id", line_no.alias("line_no"), "value"
     )
 
 
 def read_manifest(
-    spark: SparkSession, paths: str | list[str], app_id: Column | None = None
+    spark: SparkSession,
+    paths: str | list[str],
+    app_id: Column | None = None,
+    work_dir: str | None = None,
 ) -> DataFrame:
-    """Manifest lines; one file is one app. ``app_id`` may be an expression over ``file``."""
-    return number_lines(spark, paths, app_id)
-
-
-def file_name(file: Column) -> Column:
-    """The last part of a path without its extension."""
-    return F.regexp_extract(file, r"([^/]+?)(?:\.[^./]*)?$", 1)
+    """Numbered manifest lines; one file is one app unless ``app_id`` says otherwise."""
+    return number_lines(spark, paths, app_id, work_dir)
 
 
 def write_annotations(
