@@ -55,15 +55,20 @@ def read_stopwords(spark: SparkSession, path: str) -> list[str]:
     return [strip for row in rows if (strip := row.value.strip())]
 
 
-def is_stopword(word: Column, stop: StopWords) -> Column:
-    """Both lists always apply, whatever the language; null and blank are no stop words."""
-    word = strip_control(word)
+def in_stop_lists(word: Column, stop: StopWords) -> Column:
+    """Both lists always apply, whatever the language. ``word`` has no blanks around it."""
     hit = F.lit(False)
     if stop.folded:
         hit = hit | F.lower(word).isin(*stop.folded)
     if stop.exact:
         hit = hit | word.isin(*stop.exact)
-    return F.coalesce(hit & (word != ""), F.lit(False))
+    return hit
+
+
+def is_stopword(word: Column, stop: StopWords) -> Column:
+    """Test of a raw word; null and blank words are no stop words."""
+    word = strip_control(word)
+    return F.coalesce(in_stop_lists(word, stop) & (word != ""), F.lit(False))
 
 
 def remove_stopwords(df: DataFrame, column: str, stop: DataFrame) -> DataFrame:
@@ -72,8 +77,8 @@ def remove_stopwords(df: DataFrame, column: str, stop: DataFrame) -> DataFrame:
     No broadcast hint: Spark broadcasts the list if it is small and shuffles if it is not.
     """
     word = strip_control(F.col(column))
-    folded = stop.filter("folded").select(F.lower("word").alias("_folded")).distinct()
-    exact = stop.filter("not folded").select(F.col("word").alias("_exact")).distinct()
+    folded = stop.filter("folded").select(F.lower("word").alias("_folded"))
+    exact = stop.filter("not folded").select(F.col("word").alias("_exact"))
     return df.join(folded, F.lower(word) == F.col("_folded"), "left_anti").join(
         exact, word == F.col("_exact"), "left_anti"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.functions.stopwords import StopWords, is_stopword
+from lexiloom.functions.stopwords import StopWords, in_stop_lists, is_stopword
 from lexiloom.functions.text import (
     clean_token,
     decade,
@@ -27,25 +27,26 @@ def parse_ngrams(lines: DataFrame, n: int) -> DataFrame:
     and so are years or counts that are no 32-bit whole numbers.
     """
     line = F.col("value") if n == 2 else strip_control(F.col("value"))
-    rows = (
-        lines.select(split_fields(line).alias("f"))
-        .filter(F.size("f") >= (4 if n == 2 else 3))
-        .select(
-            F.col("f")[0].alias("ngram"),
-            parse_int(F.col("f")[1]).alias("year"),
-            parse_int(F.col("f")[2]).cast("bigint").alias("count"),
-            parse_int(F.get("f", F.lit(3)), "bigint").alias("pages"),
-        )
-        .filter(F.col("year").isNotNull() & F.col("count").isNotNull())
-    )
+    fields = compute_once(lines.select("value"), f=split_fields(line)).drop("value")
+    numbers = compute_once(
+        fields.filter(F.size("f") >= (4 if n == 2 else 3)),
+        year=parse_int(F.col("f")[1]),
+        count=parse_int(F.col("f")[2]),
+    ).filter(F.col("year").isNotNull() & F.col("count").isNotNull())
+    columns = [
+        F.col("f")[0].alias("ngram"),
+        "year",
+        F.col("count").cast("bigint").alias("count"),
+        parse_int(F.get("f", F.lit(3)), "bigint").alias("pages"),
+    ]
     if n == 1:
-        return rows
-    words = rows.withColumn("w", split_words(F.col("ngram"))).filter(F.size("w") == 2)
-    return words.select("*", F.col("w")[0].alias("w1"), F.col("w")[1].alias("w2")).drop("w")
+        return numbers.select(*columns)
+    words = compute_once(numbers, w=split_words(F.col("f")[0])).filter(F.size("w") == 2)
+    return words.select(*columns, F.col("w")[0].alias("w1"), F.col("w")[1].alias("w2"))
 
 
 def _is_valid(token: Column, stop: StopWords) -> Column:
-    return is_word(token) & ~is_stopword(token, stop)
+    return is_word(token) & ~in_stop_lists(token, stop)
 
 
 def valid_bigrams(df: DataFrame, stop: StopWords) -> DataFrame:
