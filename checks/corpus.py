@@ -21,7 +21,7 @@ from lexiloom.operators.ngrams import (
     with_decade,
 )
 from lexiloom.operators.topk import top_k
-from lexiloom.plans.collocations import collocations, scored_collocations
+from lexiloom.plans.collocations import scored_collocations
 from lexiloom.session import materialize, work_path
 from lexiloom.sources.documents import (
     document_bigrams,
@@ -237,7 +237,7 @@ def collocations_checkpointed(spark: SparkSession, sf: str) -> DataFrame:
     scored = scored_collocations(
         bigrams(spark, sf), unigrams(spark, sf), stages="all"
     )
-    return _topk(materialize(scored, "scored"), "decade")
+    return _topk(scored, "decade")
 
 
 def collocations_fused(spark: SparkSession, sf: str) -> DataFrame:

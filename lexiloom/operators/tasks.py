@@ -50,9 +50,10 @@ def resolve_documents(tasks: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def requested_documents(tasks: DataFrame, pages: DataFrame) -> DataFrame:
-    """``analysis, url, text`` of valid tasks, once for however many tasks ask for it."""
-    wanted = tasks.filter(F.col("error").isNull()).select("analysis", "url").distinct()
-    return wanted.join(pages.select("url", "text"), "url").select("analysis", "url", "text")
+    """``url, text, analyses``: a document once, with the few analyses valid tasks ask for."""
+    wanted = tasks.filter(F.col("error").isNull()).groupBy("url")
+    analyses = wanted.agg(F.collect_set("analysis").alias("analyses"))
+    return analyses.join(pages.select("url", "text"), "url").select("url", "text", "analyses")
 
 
 def task_results(tasks: DataFrame, pages: DataFrame, outputs: DataFrame) -> DataFrame:

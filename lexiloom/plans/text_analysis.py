@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexiloom.operators.annotate import AnnotatorFactory, annotate
 from lexiloom.operators.sentences import annotation_lines, document_lines, sentences
-from lexiloom.operators.tasks import requested_documents, task_results
+from lexiloom.operators.tasks import parse_tasks, requested_documents, task_results
 from lexiloom.session import materialize
+from lexiloom.sources.manifests import read_manifest
 
 
 def annotated_lines(
@@ -19,8 +21,9 @@ def annotated_lines(
     partitions: int | None = None,
 ) -> DataFrame:
     """Annotation lines of every (analysis, document) that some valid task asks for."""
-    docs = requested_documents(tasks, pages)
-    return annotation_lines(annotate(sentences(docs), annotators, partitions))
+    found = sentences(requested_documents(tasks, pages))
+    rows = found.select(F.explode("analyses").alias("analysis"), "url", "sent_no", "sentence")
+    return annotation_lines(annotate(rows, annotators, partitions))
 
 
 def run_tasks(
@@ -38,3 +41,20 @@ def run_tasks(
     lines = annotated_lines(tasks, pages, annotators, partitions)
     outputs = materialize(document_lines(lines, ["analysis", "url"]), "outputs", work_dir)
     return task_results(tasks, pages, outputs)
+
+
+def text_analysis_job(
+    spark: SparkSession,
+    manifests: str | list[str],
+    pages: DataFrame,
+    annotators: Mapping[str, AnnotatorFactory],
+    out: str,
+    partitions: int | None = None,
+    work_dir: str | None = None,
+) -> DataFrame:
+    """Run every line of the manifests and keep the results in ``out``, which must be new."""
+    lines = read_manifest(spark, manifests, work_dir=work_dir)
+    tasks = materialize(parse_tasks(lines), "tasks", work_dir)
+    results = run_tasks(tasks, pages, annotators, partitions, work_dir)
+    results.write.parquet(out)
+    return spark.read.schema(results.schema).parquet(out)

@@ -24,10 +24,12 @@ def local_session(cpus: int = 8, app: str = "lexiloom", **conf: str) -> SparkSes
     return builder.getOrCreate()
 
 
-def work_path(spark: SparkSession, label: str, root: str | None = None) -> str:
-    """A path nobody has written to yet, in the folder all executors share.
+def work_path(
+    spark: SparkSession, label: str, root: str | None = None, run_id: str | None = None
+) -> str:
+    """A path for a stage in the folder all executors share.
 
-    The folder is ``root``, else the session's ``spark.checkpoint.dir``. Only a local
+    Without a ``run_id`` nobody has written to it yet. The folder is ``root``, else the session's ``spark.checkpoint.dir``. Only a local
     session, whose executors share the machine, may fall back to a temporary folder.
     """
     root = root or spark.conf.get("spark.checkpoint.dir", None)
@@ -35,20 +37,34 @@ def work_path(spark: SparkSession, label: str, root: str | None = None) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="run-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    place = f"{label}-{uuid.uuid4().hex}" if run_id is None else f"{run_id}/{label}"
+    return f"{root.rstrip('/')}/{place}"
 
 
-def materialize(df: DataFrame, label: str, root: str | None = None) -> DataFrame:
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a job has written ``path`` to the end."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
+def materialize(
+    df: DataFrame, label: str, root: str | None = None, run_id: str | None = None
+) -> DataFrame:
     """Write ``df`` as Parquet and return the table read back.
 
     A written stage survives lost executors, is computed once however often it is read,
     and has a known size, so Spark decides from facts whether a join side is small
     enough to broadcast. It also leaves both join sides with an exchange of their own,
     which is what the adaptive skew-join split needs.
+
+    With a ``run_id`` the stage has a fixed place in that run. A stage the run has
+    already completed is read and not computed again, so a failed run goes on where it
+    stopped.
     """
     spark = df.sparkSession
-    path = work_path(spark, label, root)
-    df.write.parquet(path)
+    path = work_path(spark, label, root, run_id)
+    if run_id is None or not is_complete(spark, path):
+        df.write.mode("errorifexists" if run_id is None else "overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,7 @@ from lexiloom.operators.sentences import (
     sentences,
 )
 from lexiloom.operators.tasks import app_progress, dedupe_results, parse_tasks, task_summary
-from lexiloom.plans.text_analysis import run_tasks
+from lexiloom.plans.text_analysis import run_tasks, text_analysis_job
 from lexiloom.sources.manifests import read_manifest, write_annotations
 from lexiloom.streaming.tasks import read_results, start_results, stream_tasks
 
@@ -192,3 +192,10 @@ def test_stream_equals_batch_and_goes_on_after_a_stop(spark, manifest, pages, tm
     late = read_results(spark, out).filter("app_id = 'three'").collect()
     assert len(late) == 1 and late[0].ok
     assert read_results(spark, out).count() == batch.count() + 1
+
+
+def test_text_analysis_job(spark, manifest, pages, tmp_path):
+    out = str(tmp_path / "results")
+    results = text_analysis_job(spark, manifest, pages, ANNOTATORS, out, 2, str(tmp_path / "w"))
+    assert results.count() == len(MANIFEST) + 3
+    assert results.filter("app_id LIKE '%two.txt' AND ok").count() == 2
