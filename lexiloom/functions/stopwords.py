@@ -57,18 +57,19 @@ def read_stopwords(spark: SparkSession, path: str) -> list[str]:
 
 def in_stop_lists(word: Column, stop: StopWords) -> Column:
     """Both lists always apply, whatever the language. ``word`` has no blanks around it."""
+    folded = [listed for listed in stop.folded if listed]
+    exact = [listed for listed in stop.exact if listed]
     hit = F.lit(False)
-    if stop.folded:
-        hit = hit | F.lower(word).isin(*stop.folded)
-    if stop.exact:
-        hit = hit | word.isin(*stop.exact)
+    if folded:
+        hit = hit | F.lower(word).isin(*folded)
+    if exact:
+        hit = hit | word.isin(*exact)
     return hit
 
 
 def is_stopword(word: Column, stop: StopWords) -> Column:
     """Test of a raw word; null and blank words are no stop words."""
-    word = strip_control(word)
-    return F.coalesce(in_stop_lists(word, stop) & (word != ""), F.lit(False))
+    return F.coalesce(in_stop_lists(strip_control(word), stop), F.lit(False))
 
 
 def remove_stopwords(df: DataFrame, column: str, stop: DataFrame) -> DataFrame:
