@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import common as c
-from lexiloom.functions import clean_token, decade, is_stopword, llr, register_functions
+from lexiloom.functions import clean_token, decade, is_stopword, register_functions
 from lexiloom.functions.stopwords import remove_stopwords
-from lexiloom.operators.collocations import finite_scores, join_counts, merge_counts, score_pairs
+from lexiloom.operators.collocations import finite_scores, join_counts, merge_counts
 from lexiloom.operators.ngrams import (
     bigram_counts,
     parse_ngrams,
