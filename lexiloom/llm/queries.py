@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import line_dedup
+from lexiloom.llm import bpe, line_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.line_digests(docs, line_dedup.keep_bitmaps(docs, min_chars=40, min_docs=5))
 
 
 QUERIES = {
+    "op5_byte_bpe": op5_byte_bpe,
     "op10_line_dedup": op10_line_dedup,
 }
 
