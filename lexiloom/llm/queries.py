@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, line_dedup
+from lexiloom.llm import bpe, line_dedup, minhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=5, percent=85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.line_digests(docs, line_dedup.keep_bitmaps(docs, min_chars=40, min_docs=5))
@@ -22,6 +28,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
 }
 
@@ -38,7 +45,25 @@ shared AS (SELECT key, max(doc_id) AS top FROM lines WHERE length(key) >= 40
 marked AS (SELECT lines.*, shared.key IS NOT NULL AND doc_id < top AS gone
            FROM lines LEFT JOIN shared USING (key))"""
 
+#: Word lists of ``documents``, A-Z lower-cased.
+WORDS_SQL = f"""words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+         '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM docs)"""
+
+NEAR_SQL = f"""{WORDS_SQL},
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
+           THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b USING (g)
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+near AS (SELECT doc_id, len(s) AS n_shingles, low AS component_id
+         FROM sets JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id))"""
+
 ORACLES = {
+    "op9_minhash": f"""WITH RECURSIVE docs AS (SELECT doc_id, text FROM documents), {NEAR_SQL}
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near""",
     "op10_line_dedup": f"""WITH docs AS (SELECT doc_id, text FROM documents), {LINES_SQL}
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
