@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, line_dedup, minhash
+from lexiloom.llm import bpe, decontaminate, line_dedup, minhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=80, recall=0.99
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=5, percent=85)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -28,6 +34,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_decontamination": op7_decontamination,
     "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
 }
