@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, decontaminate, line_dedup, minhash
+from lexiloom.llm import bpe, decontaminate, line_dedup, minhash, weak_labels
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=80, recall=0.99
@@ -34,6 +38,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_weak_labels": op6_weak_labels,
     "op7_decontamination": op7_decontamination,
     "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
