@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, decontaminate, line_dedup, minhash, weak_labels
+from lexiloom.llm import bpe, decontaminate, licenses, line_dedup, minhash, quotes, weak_labels
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=5, percent=85)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -37,9 +51,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quotes": op4_quotes,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_weak_labels": op6_weak_labels,
     "op7_decontamination": op7_decontamination,
+    "op8_licenses": op8_licenses,
     "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -73,7 +89,34 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, links.b FR
 near AS (SELECT doc_id, len(s) AS n_shingles, low AS component_id
          FROM sets JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id))"""
 
+def license_sql() -> str:
+    """The licence scan with the same sentences and rules, a step per rule."""
+    values = ", ".join(f"('{name}', '{text}')" for name, text in licenses.SENTENCES.items())
+    steps, found = [], []
+    for k, (name, own) in enumerate(licenses.RULES):
+        rule = "," + ",".join(own) + ","
+        steps.append(
+            f"r{k + 1} AS (SELECT * EXCLUDE (s), replace(replace(s, '{rule}', ',|,'), '{rule}', ',|,') AS s, "
+            f"contains(s, '{rule}') AS f{k} FROM r{k})"
+        )
+        found.append(f"CASE WHEN f{k} THEN '{name}' END")
+    return rf"""WITH known(id, sentence) AS (VALUES {values}),
+pieces AS (SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS i FROM (
+  SELECT doc_id, string_split(regexp_replace(regexp_replace(translate(coalesce(text, ''), chr(1), ' '),
+    '([.!?;:])[ \t\r\n]+', '\1' || chr(1), 'g'), '\n[ \t\r]*\n', chr(1), 'g'), chr(1)) AS p FROM documents)),
+lines AS (SELECT doc_id, i, unnest(l) AS sentence, unnest(range(len(l))) AS j FROM (
+  SELECT doc_id, i, CASE WHEN contains(piece, chr(10)) THEN [piece] || string_split(piece, chr(10)) ELSE [piece] END AS l FROM pieces)),
+hits AS (SELECT doc_id, i, j, id FROM lines JOIN known
+         ON trim(regexp_replace(lower(lines.sentence), '[^a-z0-9]+', ' ', 'g')) = known.sentence),
+r0 AS (SELECT doc_id, count(id) AS n, coalesce(string_agg(id, ',' ORDER BY i, j), '') AS ids,
+       ',' || coalesce(string_agg(id, ',' ORDER BY i, j), '') || ',' AS s FROM documents LEFT JOIN hits USING (doc_id) GROUP BY doc_id),
+{", ".join(steps)}
+SELECT doc_id, n AS n_sentences, ids AS sentence_ids,
+       array_to_string(list_filter([{", ".join(found)}], lambda x: x IS NOT NULL), ',') AS licenses FROM r{len(licenses.RULES)}"""
+
+
 ORACLES = {
+    "op8_licenses": license_sql(),
     "op9_minhash": f"""WITH RECURSIVE docs AS (SELECT doc_id, text FROM documents), {NEAR_SQL}
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near""",
     "op10_line_dedup": f"""WITH docs AS (SELECT doc_id, text FROM documents), {LINES_SQL}
