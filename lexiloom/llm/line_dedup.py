@@ -195,7 +195,8 @@ def cut_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     A null text stays null; ``n_chars``, if there, is counted anew for texts that lost lines.
     """
     keep = fresh(docs, "keep_bitmap")
-    joined = docs.join(bitmaps.select(F.col("doc_id").alias(keep + "_id"), F.col("keep").alias(keep)), F.col("doc_id") == F.col(keep + "_id"), "left").drop(keep + "_id")
+    marked = bitmaps.select(F.col("doc_id").alias(keep + "_id"), F.col("keep").alias(keep)).hint("merge")
+    joined = docs.join(marked, F.col("doc_id") == F.col(keep + "_id"), "left").drop(keep + "_id")
     at, n = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +220,8 @@ def cut_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
 def line_digests(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept_sha256`` of every document."""
-    joined = texts_of(docs).join(bitmaps, "doc_id", "left").select("doc_id", "text", "keep")
+    # Bitmaps grow with the documents: the same join at every size.
+    joined = texts_of(docs).join(bitmaps.hint("merge"), "doc_id", "left").select("doc_id", "text", "keep")
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
