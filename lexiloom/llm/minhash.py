@@ -2,9 +2,10 @@
 
 Few small *half keys*, each of a few minhashes, are computed per document; the keys of the
 hash tables are all pairs of two half keys. ``h`` half keys give ``h * (h - 1) / 2`` tables, so the
-number of minhashes grows with the square root of the number of tables. With 13 half keys of
-3 minhashes (39 minhashes, 78 tables of 6), a pair of similarity 0.85 is missed if at most one of
-13 half keys agrees: fewer than one in ten thousand.
+number of minhashes grows with the square root of the number of tables. With 21 half keys of
+5 minhashes (105 minhashes, 210 tables of 10), a pair of similarity 0.85 is missed if at most one of
+21 half keys agrees: fewer than one in ten thousand. Of pairs of similarity 0.4, as documents have that
+share a long passage, one in fifty is compared.
 
 Documents with the same shingles are one class, whatever their number, and only the class's least id
 takes part. A half key that one class alone has is dropped before pairs are formed. Within a
@@ -28,7 +29,7 @@ from lexiloom.session import materialize
 
 WORDS = 5
 PERCENT = 85
-HALVES, PER_HALF = 13, 3
+HALVES, PER_HALF = 21, 5
 _RANDOM = np.random.default_rng(20240909)
 _FLIP = _RANDOM.integers(0, 2**63, HALVES * PER_HALF, dtype=np.uint64)
 _TIMES = _RANDOM.integers(0, 2**63, HALVES * PER_HALF, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
