@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, decontaminate, kneser_ney, licenses, line_dedup, minhash, quotes, weak_labels
+from lexiloom.llm import bpe, decontaminate, kneser_ney, licenses, line_dedup, maxent, minhash, quotes, weak_labels
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judge(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_perplexity": op2_perplexity,
     "op4_quotes": op4_quotes,
     "op5_byte_bpe": op5_byte_bpe,
