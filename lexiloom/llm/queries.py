@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, decontaminate, kneser_ney, licenses, line_dedup, maxent, minhash, quotes, weak_labels
+from lexiloom.llm import bpe, decontaminate, kneser_ney, licenses, line_dedup, maxent, minhash, quotes, suffix_dedup, weak_labels
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judge(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_order(table(spark, sf_dir, "conversations"))
 
@@ -61,6 +65,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_perplexity": op2_perplexity,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quotes": op4_quotes,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_weak_labels": op6_weak_labels,
