@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from checks import common as c
 from lexiloom.functions import clean_token, decade, is_stopword, register_functions
@@ -21,7 +22,7 @@ from lexiloom.operators.ngrams import (
     with_decade,
 )
 from lexiloom.operators.topk import top_k
-from lexiloom.plans.collocations import scored_collocations
+from lexiloom.plans.collocations import collocation_job, scored_collocations
 from lexiloom.session import materialize, work_path
 from lexiloom.sources.documents import (
     document_bigrams,
@@ -271,6 +272,66 @@ def collocations_from_lines(spark: SparkSession, sf: str) -> DataFrame:
     return _topk(scored, "decade")
 
 
+def collocation_job_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The job itself, two folders of each kind, all pairs; ``ordered`` is the order in the files."""
+    folders: dict[int, list[str]] = {1: [], 2: []}
+    for n, paths in folders.items():
+        for half in (0, 1):
+            paths.append(work_path(spark, f"lines{n}"))
+            own = F.pmod(F.xxhash64("value"), F.lit(2)) == half
+            ngram_lines(spark, sf, n).filter(own).write.text(paths[-1])
+    out, work = work_path(spark, "job"), work_path(spark, "job-stages")
+    every = 2**31 - 1
+    folder = collocation_job(
+        spark, folders[2], folders[1], out, c.STOP, k=every, work_dir=work, run_id="run-1"
+    )
+    fields = F.split("value", "\t")
+    rows = spark.read.text(folder).select(
+        fields[0].alias("decade"),
+        fields[1].alias("w1"),
+        fields[2].alias("w2"),
+        fields[3].cast("double").alias("llr"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
+    place = Window.partitionBy("decade").orderBy("file", "block", "seq")
+    ordered = F.coalesce(F.lag("llr").over(place) >= F.col("llr"), F.lit(True))
+    return _rounded(rows.select("decade", "w1", "w2", "llr", ordered.alias("ordered")))
+
+
+def tsv_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored lines of which most are broken: bad scores, missing fields, bad counts."""
+    id_ = F.col("doc_id").cast("string")
+    start = [F.lit("1990s"), F.concat(F.lit("a"), id_), F.lit("b")]
+    ends = [
+        [F.lit("2.5"), F.lit("3"), F.lit("4"), F.lit("5")],
+        [F.lit("NaN")],
+        [F.lit("Infinity"), F.lit("1")],
+        [],
+        [F.lit("-1e3"), F.lit("x"), F.lit("9223372036854775808"), F.lit("")],
+        [F.lit("1,5")],
+        [F.lit(" 7 "), F.lit("-2")],
+    ]
+    kinds = F.array(*(F.concat_ws("\t", *start, *end) for end in ends))
+    docs = c.table(spark, sf, "documents")
+    lines = docs.select(F.get(kinds, (F.col("doc_id") % 7).cast("int")).alias("value"))
+    path = work_path(spark, "bad-lines")
+    lines.write.text(path)
+    return read_collocations(spark, path)
+
+
+def stopword_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw words, stop words and others, by the column and by the SQL function."""
+    register_functions(spark, c.STOP)
+    words = raw_unigrams(spark, sf).select(F.col("ngram").alias("word")).distinct()
+    return words.select(
+        "word",
+        is_stopword(F.col("word"), c.STOP).alias("is_stop"),
+        F.expr("is_stopword(word)").alias("is_stop_sql"),
+    )
+
+
 def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
     """The registered SQL functions over the counted pairs."""
     register_functions(spark, c.STOP)
@@ -289,6 +350,9 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "collocation_job_files": collocation_job_files,
+    "tsv_bad_lines": tsv_bad_lines,
+    "stopword_flags": stopword_flags,
     "ngram_parse_bigram": lambda spark, sf: ngram_parse(spark, sf, 2),
     "ngram_parse_unigram": lambda spark, sf: ngram_parse(spark, sf, 1),
     "sequencefile_roundtrip": sequencefile_roundtrip,
@@ -361,6 +425,17 @@ def _sql_from_lines() -> str:
 
 
 ORACLES = {
+    "collocation_job_files": _sql_from_lines().rpartition("SELECT decade, w1, w2, llr, CAST(rank")[0]
+    + "SELECT decade, w1, w2, llr, true AS ordered FROM scored",
+    "tsv_bad_lines": """
+        SELECT '1990s' AS decade, 'a' || doc_id AS w1, 'b' AS w2,
+               CASE doc_id % 7 WHEN 0 THEN 2.5e0 WHEN 4 THEN -1e3 ELSE 7e0 END AS llr,
+               CAST(CASE doc_id % 7 WHEN 0 THEN 3 WHEN 6 THEN -2 ELSE -1 END AS BIGINT) AS c12,
+               CAST(CASE doc_id % 7 WHEN 0 THEN 4 ELSE -1 END AS BIGINT) AS c1,
+               CAST(CASE doc_id % 7 WHEN 0 THEN 5 ELSE -1 END AS BIGINT) AS c2
+        FROM documents WHERE doc_id % 7 IN (0, 4, 6)""",
+    "stopword_flags": f"""{BASE} SELECT DISTINCT word, {c.sql_is_stop('word')} AS is_stop,
+        {c.sql_is_stop('word')} AS is_stop_sql FROM raw_uni""",
     "ngram_parse_bigram": _sql_parse(2),
     "ngram_parse_unigram": _sql_parse(1),
     "sequencefile_roundtrip": f"SELECT ngram, year, total FROM ({_sql_parse(1)})",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks import common as c
 from lexiloom.operators.annotate import annotate
 from lexiloom.operators.sentences import (
+    annotation_lines,
     constituency_lines,
     dependency_lines,
     document_lines,
@@ -26,6 +27,7 @@ from lexiloom.plans.text_analysis import annotated_lines, run_tasks
 from lexiloom.session import materialize, spread, work_path
 from lexiloom.sources.manifests import read_manifest, write_annotations
 from lexiloom.streaming.tasks import (
+    app_states,
     latest_progress,
     read_results,
     start_progress,
@@ -150,11 +152,11 @@ def task_resolve(spark: SparkSession, sf: str) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(
-                    (F.col("page_id") * 2).cast("int").alias("line_no"),
+                    (F.col("page_id") * 2).cast("long").alias("line_no"),
                     F.concat(F.lit("POS\t"), "url").alias("value"),
                 ),
                 F.struct(
-                    (F.col("page_id") * 2 + 1).cast("int").alias("line_no"),
+                    (F.col("page_id") * 2 + 1).cast("long").alias("line_no"),
                     F.concat(F.lit("POS\t"), "url", F.lit("$gone")).alias("value"),
                 ),
             )
@@ -264,7 +266,87 @@ def _stream_progress(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     return latest_progress(spark, out)
 
 
+def stream_redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    """Two thirds of the manifests, then all of them with time stamps of long ago.
+
+    An app is a source, so the second delivery of a manifest brings the same tasks again.
+    """
+    out, state = work_path(spark, "stream-results"), work_path(spark, "stream-state")
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = task_lines(spark, sf).withColumn("n", F.pmod(F.xxhash64("source"), F.lit(3)))
+    inbox = work_path(spark, "inbox")
+    for turn, part in enumerate((rows.filter("n < 2"), rows)):
+        placed = part.repartition("source").sortWithinPartitions("source", "doc_id", "k")
+        placed.select("source", "value").write.mode("append").partitionBy("source").text(inbox)
+        if turn:
+            root = files.Path(inbox)
+            system = root.getFileSystem(conf)
+            found = system.listFiles(root, True)
+            while found.hasNext():
+                system.setTimes(found.next().getPath(), 86_400_000, -1)
+        stream = stream_tasks(spark, inbox, folder("source"), files_per_trigger=8)
+        start_results(stream, documents(spark, sf), ANNOTATORS, out, state).awaitTermination()
+    return read_results(spark, out).withColumn("output", F.md5("output"))
+
+
+def stream_completion(spark: SparkSession, sf: str) -> DataFrame:
+    """States of the apps after a stream has run."""
+    stream = stream_tasks(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
+    out, state = work_path(spark, "stream-results"), work_path(spark, "stream-state")
+    start_results(stream, documents(spark, sf), ANNOTATORS, out, state).awaitTermination()
+    return app_states(spark, out)
+
+
+def task_results_repeated_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page three times: the least text of a URL counts, pages without text do not."""
+    pages = documents(spark, sf)
+    longer = pages.withColumn("text", F.concat("text", F.lit(" More of it.")))
+    none = pages.withColumn("text", F.lit(None).cast("string"))
+    found = run_tasks(tasks(spark, sf), longer.unionByName(pages).unionByName(none), ANNOTATORS)
+    return found.withColumn("output", F.md5("output"))
+
+
+def _faulty_pos():
+    """Tags that are no strings, none at all, pairs of the wrong length, or two parts."""
+
+    def run(sentence: str):
+        words = sentence.split()
+        kind = len(words) % 5
+        if kind == 0:
+            return [[(w, len(w)) for w in words]]
+        if kind == 1:
+            return [[(w, None) for w in words]]
+        if kind == 2:
+            return [[(w,) for w in words]]
+        if kind == 3:
+            return None
+        half = len(words) // 2
+        return [[(w, "A") for w in words[:half]], [(w, "B") for w in words[half:]]]
+
+    return run
+
+
+def _faulty_factory():
+    raise OSError("no model")
+
+
+def annotation_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Annotators that misbehave: every sentence has its rows, failed ones an error."""
+    found = sentences(documents(spark, sf))
+    analyses = F.explode(F.array(*map(F.lit, ("POS", "DEPENDENCY", "CONSTITUENCY"))))
+    faulty = {"POS": _faulty_pos, "DEPENDENCY": _faulty_factory, "CONSTITUENCY": lambda: lambda s: [s, 7]}
+    rows = annotation_lines(annotate(found.withColumn("analysis", analyses), faulty))
+    return rows.select(
+        "url", "sent_no", "analysis", "part_no", "line", F.col("error").isNotNull().alias("failed")
+    )
+
+
 QUERIES = {
+    "stream_redelivery": stream_redelivery,
+    "stream_completion": stream_completion,
+    "task_results_repeated_pages": task_results_repeated_pages,
+    "annotation_faults": annotation_faults,
     "manifest_parse": manifest_parse,
     "task_validation": task_validation,
     "task_resolve": task_resolve,
@@ -302,7 +384,7 @@ SQL_RAW = f"""raw AS (
 def _sql_manifest(app: str) -> str:
     return f"""{SQL_RAW},
     manifest AS (SELECT {app} AS app_id, value,
-        CAST(row_number() OVER (PARTITION BY {app} ORDER BY doc_id, k) - 1 AS INTEGER) AS line_no
+        CAST(row_number() OVER (PARTITION BY {app} ORDER BY doc_id, k) - 1 AS BIGINT) AS line_no
       FROM raw)"""
 
 
@@ -365,14 +447,35 @@ def _sql_lines(column: str) -> str:
         FROM lines"""
 
 
+# Words of a sentence by Python's split: any Unicode white space, of which SQL knows its own list.
+SQL_FAULTS = """wide AS (SELECT url, sent_no, sentence, list_filter(regexp_split_to_array(sentence,
+        '[ \\t\\n\\x0b\\f\\r]+'), lambda x: x <> '') AS w FROM sentences),
+    pos AS (SELECT *, len(w) % 5 = 4 AS fine, len(w) // 2 AS half FROM wide)"""
+
+
+def _sql_tagged(words: str, tag: str) -> str:
+    return f"coalesce(list_aggregate(list_transform({words}, lambda x: x || '/{tag} '), 'string_agg', ''), '')"
+
+
 ORACLES = {
+    "stream_redelivery": f"{STREAMED_RESULTS} {HASHED}",
+    "stream_completion": f"""{STREAMED}
+        SELECT app_id, count(*) AS submitted, count(*) AS finished, CAST(0 AS BIGINT) AS outstanding,
+               true AS done FROM tasks GROUP BY ALL""",
+    "task_results_repeated_pages": f"{RESULTS} {HASHED}",
+    "annotation_faults": f"""WITH {SQL_SENTENCES}, {SQL_FAULTS}
+        SELECT url, sent_no, 'POS' AS analysis, 0 AS part_no,
+               CASE WHEN fine THEN {_sql_tagged('w[1:half]', 'A')} END AS line, NOT fine AS failed FROM pos
+        UNION ALL SELECT url, sent_no, 'POS', 1, {_sql_tagged('w[half + 1:]', 'B')}, false FROM pos WHERE fine
+        UNION ALL SELECT url, sent_no, 'DEPENDENCY', 0, NULL, true FROM pos
+        UNION ALL SELECT url, sent_no, 'CONSTITUENCY', 0, NULL, true FROM pos""",
     "manifest_parse": f"{MANIFEST} SELECT app_id, line_no, value FROM manifest",
     "task_validation": f"{TASKS} SELECT * FROM tasks",
     "task_resolve": """
-        SELECT 'web' AS app_id, CAST(page_id * 2 AS INTEGER) AS line_no, 'POS' AS analysis, url,
+        SELECT 'web' AS app_id, CAST(page_id * 2 AS BIGINT) AS line_no, 'POS' AS analysis, url,
                CAST(NULL AS VARCHAR) AS error, md5(html) AS text FROM pages
         UNION ALL
-        SELECT 'web', CAST(page_id * 2 + 1 AS INTEGER), 'POS', url || '$gone',
+        SELECT 'web', CAST(page_id * 2 + 1 AS BIGINT), 'POS', url || '$gone',
                'document not available: ' || url || '$gone', NULL FROM pages""",
     "task_results": f"{RESULTS} {HASHED}",
     "task_summary": f"""{RESULTS}

@@ -25,9 +25,6 @@ HEBREW = tuple(
     """.split()
 )
 
-MAX_LITERALS = 10_000
-
-
 @dataclass(frozen=True)
 class StopWords:
     """``folded`` words match in any case (give them lower-cased), ``exact`` ones as they are."""
@@ -48,13 +45,21 @@ class StopWords:
 
 
 def read_stopwords(spark: SparkSession, path: str) -> list[str]:
-    """A stop list file, one word per line, as literals; refuses lists too long for that."""
-    rows = spark.read.text(path).filter("value <> ''").limit(MAX_LITERALS + 1).collect()
-    if len(rows) > MAX_LITERALS:
-        raise ValueError(f"more than {MAX_LITERALS} words: use remove_stopwords with a table")
+    """A stop list file, one word per line, as literals. For long lists see ``stop_table``."""
+    rows = spark.read.text(path).filter("value <> ''").collect()
     return [strip for row in rows if (strip := row.value.strip())]
 
 
+def stop_table(spark: SparkSession, path: str, folded: bool = True) -> DataFrame:
+    """A stop list file of any length as ``word, folded``, for ``remove_stopwords``.
+
+    The jobs take such a table, or the union of several, in place of ``StopWords``.
+    """
+    word = strip_control(F.col("value"))
+    words = spark.read.text(path).select(word.alias("word")).filter("word <> ''").distinct()
+    return words.withColumn("folded", F.lit(folded))
+
+
 def in_stop_lists(word: Column, stop: StopWords) -> Column:
     """Both lists always apply, whatever the language. ``word`` has no blanks around it."""
     folded = [listed for listed in stop.folded if listed]

@@ -29,16 +29,42 @@ _EDGES = pa.list_(
 )
 
 
+def _text(value: Any) -> str:
+    if not isinstance(value, str):
+        raise TypeError(f"expected a string, got {type(value).__name__}")
+    return value
+
+
 def _cells(analysis: str, found: Any) -> tuple[Any, Any, Any]:
+    """The columns of one annotation; anything but strings of the right arity is an error."""
     if analysis == "POS":
-        return [{"word": word, "tag": tag} for word, tag in found], None, None
+        return [{"word": _text(word), "tag": _text(tag)} for word, tag in found], None, None
     if analysis == "DEPENDENCY":
         edges = [
-            {"pos": pos, "rel": rel, "gov": gov, "dep": dep}
+            {"pos": pos, "rel": _text(rel), "gov": _text(gov), "dep": _text(dep)}
             for pos, (rel, gov, dep) in enumerate(found)
         ]
         return None, edges, None
-    return None, None, str(found)
+    return None, None, _text(found)
+
+
+class _Built:
+    """Annotators of one partition: every factory is called once, even if it fails."""
+
+    def __init__(self, factories: Mapping[str, AnnotatorFactory]):
+        self.factories = factories
+        self.done: dict[str, Annotator | Exception] = {}
+
+    def __getitem__(self, analysis: str) -> Annotator:
+        if analysis not in self.done:
+            try:
+                self.done[analysis] = self.factories[analysis]()
+            except Exception as error:  # noqa: BLE001 - remembered for every sentence
+                self.done[analysis] = error
+        found = self.done[analysis]
+        if isinstance(found, Exception):
+            raise found
+        return found
 
 
 def annotate(
@@ -48,9 +74,10 @@ def annotate(
 ) -> DataFrame:
     """Add ``part_no, tokens, edges, tree, error`` to rows with ``analysis, sentence``.
 
-    ``annotators`` maps an analysis to a factory that builds the annotator, at most once
-    per partition. A sentence whose annotator fails gives one row with ``error`` and the
-    partition goes on; an unknown analysis is such a failure. ``partitions`` spreads the
+    ``annotators`` maps an analysis to a factory that builds the annotator, once per
+    partition. A sentence whose annotator fails, or gives anything but the strings asked
+    for, gives one row with ``error`` and the partition goes on; an unknown analysis and
+    a failing factory are such failures. ``partitions`` spreads the
     sentences evenly before the expensive part. Rows travel as Arrow batches.
     """
     if partitions:
@@ -63,15 +90,13 @@ def annotate(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        built: dict[str, Annotator] = {}
+        built = _Built(annotators)
         for batch in batches:
             source: list[int] = []
             rows: list[tuple] = []
             columns = batch.column("analysis").to_pylist(), batch.column("sentence").to_pylist()
             for i, (analysis, sentence) in enumerate(zip(*columns)):
                 try:
-                    if analysis not in built:
-                        built[analysis] = annotators[analysis]()
                     cells = [_cells(analysis, found) for found in built[analysis](sentence)]
                     new = [(part, *cell, None) for part, cell in enumerate(cells)]
                 except Exception as error:  # noqa: BLE001 - any failure skips this sentence only

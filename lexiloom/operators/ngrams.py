@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.functions.stopwords import StopWords, in_stop_lists, is_stopword
+from lexiloom.functions.stopwords import (
+    StopWords,
+    in_stop_lists,
+    is_stopword,
+    remove_stopwords,
+)
 from lexiloom.functions.text import (
     clean_token,
     decade,
@@ -49,12 +54,16 @@ def _is_valid(token: Column, stop: StopWords) -> Column:
     return is_word(token) & ~in_stop_lists(token, stop)
 
 
-def valid_bigrams(df: DataFrame, stop: StopWords) -> DataFrame:
+def valid_bigrams(df: DataFrame, stop: StopWords | DataFrame) -> DataFrame:
     """Clean ``w1, w2`` and drop pairs with an empty, all-digit or stop word.
 
-    Words are cleaned once, not once for every condition of the filter.
+    Words are cleaned once, not once for every condition of the filter. ``stop`` may be a
+    table ``word, folded`` of any size.
     """
     cleaned = compute_once(df, w1=clean_token(F.col("w1")), w2=clean_token(F.col("w2")))
+    if isinstance(stop, DataFrame):
+        words = cleaned.filter(is_word(F.col("w1")) & is_word(F.col("w2")))
+        return remove_stopwords(remove_stopwords(words, "w1", stop), "w2", stop)
     return cleaned.filter(_is_valid(F.col("w1"), stop) & _is_valid(F.col("w2"), stop))
 
 
@@ -72,8 +81,10 @@ def valid_document_bigrams(
     return pairs.filter("w1 IS NOT NULL AND w2 IS NOT NULL")
 
 
-def valid_unigrams(df: DataFrame, stop: StopWords) -> DataFrame:
+def valid_unigrams(df: DataFrame, stop: StopWords | DataFrame) -> DataFrame:
     """Drop stop words only: single words are not cleaned and numbers stay."""
+    if isinstance(stop, DataFrame):
+        return remove_stopwords(df, "ngram", stop)
     return df.filter(~is_stopword(F.col("ngram"), stop))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.text import strip_control
 from lexiloom.operators.annotate import ANALYSES
+from lexiloom.operators.joins import fits_broadcast
 
 TASK = ["app_id", "line_no"]
 
@@ -34,13 +35,27 @@ def parse_tasks(lines: DataFrame) -> DataFrame:
     return rows.select(*TASK, "analysis", "url", error.alias("error"), *rest)
 
 
+def requested_pages(tasks: DataFrame, pages: DataFrame) -> DataFrame:
+    """``url, text`` of the pages that valid tasks ask for, one row per URL.
+
+    Pages are cut to the wanted URLs before anything is shuffled if a count shows that the
+    URLs fit a broadcast; beyond that, both sides are shuffled by URL. Of several pages
+    with one URL the least text counts; a page without text is no document.
+    """
+    wanted = tasks.filter(F.col("error").isNull()).select("url").distinct()
+    if fits_broadcast(wanted):
+        wanted = F.broadcast(wanted)
+    found = pages.select("url", "text").filter("text IS NOT NULL").join(wanted, "url", "left_semi")
+    return found.groupBy("url").agg(F.min("text").alias("text"))
+
+
 def resolve_documents(tasks: DataFrame, pages: DataFrame) -> DataFrame:
     """Add ``text`` by URL; a valid task without document gets an error.
 
     A left join without hint: Spark splits the partitions of a URL that very many tasks
-    ask for. ``pages`` must have one row per URL.
+    ask for.
     """
-    found = tasks.join(pages.select("url", "text"), "url", "left")
+    found = tasks.join(requested_pages(tasks, pages), "url", "left")
     missing = F.when(
         F.col("text").isNull(), F.concat(F.lit("document not available: "), F.col("url"))
     )
@@ -50,7 +65,10 @@ def resolve_documents(tasks: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def requested_documents(tasks: DataFrame, pages: DataFrame) -> DataFrame:
-    """``url, text, analyses``: a document once, with the few analyses valid tasks ask for."""
+    """``url, text, analyses``: a document once, with the few analyses valid tasks ask for.
+
+    ``pages`` has one row per URL, as ``requested_pages`` gives it.
+    """
     wanted = tasks.filter(F.col("error").isNull()).groupBy("url")
     analyses = wanted.agg(F.collect_set("analysis").alias("analyses"))
     return analyses.join(pages.select("url", "text"), "url").select("url", "text", "analyses")
@@ -59,8 +77,8 @@ def requested_documents(tasks: DataFrame, pages: DataFrame) -> DataFrame:
 def task_results(tasks: DataFrame, pages: DataFrame, outputs: DataFrame) -> DataFrame:
     """``app_id, line_no, analysis, url, output, error, ok`` for every task, failed or not.
 
-    ``outputs`` has ``analysis, url, output``. A document without any line of annotation
-    is a failure of the task.
+    ``outputs`` has ``analysis, url, output``, ``pages`` the requested ones, one row per
+    URL. A document without any line of annotation is a failure of the task.
     """
     known = pages.select("url", F.lit(True).alias("known"))
     rows = tasks.join(outputs.select("analysis", "url", "output"), ["analysis", "url"], "left")

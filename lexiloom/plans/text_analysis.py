@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from lexiloom.operators.annotate import AnnotatorFactory, annotate
 from lexiloom.operators.sentences import annotation_lines, document_lines, sentences
-from lexiloom.operators.tasks import parse_tasks, requested_documents, task_results
+from lexiloom.operators.tasks import (
+    parse_tasks,
+    requested_documents,
+    requested_pages,
+    task_results,
+)
 from lexiloom.session import materialize
 from lexiloom.sources.manifests import read_manifest
 
@@ -20,7 +25,10 @@ def annotated_lines(
     annotators: Mapping[str, AnnotatorFactory],
     partitions: int | None = None,
 ) -> DataFrame:
-    """Annotation lines of every (analysis, document) that some valid task asks for."""
+    """Annotation lines of every (analysis, document) that some valid task asks for.
+
+    ``pages`` has one row per URL.
+    """
     found = sentences(requested_documents(tasks, pages))
     rows = found.select(F.explode("analyses").alias("analysis"), "url", "sent_no", "sentence")
     return annotation_lines(annotate(rows, annotators, partitions))
@@ -36,8 +44,10 @@ def run_tasks(
     """One result per task. Failures become errors of their task; the job goes on.
 
     A document is annotated once per analysis even if a third of all tasks ask for it;
-    its output is written, and then joined to those tasks.
+    its output is written, and then joined to those tasks. ``pages`` is read once, cut to
+    what the tasks ask for and written; URLs may repeat.
     """
+    pages = materialize(requested_pages(tasks, pages), "requested-pages", work_dir)
     lines = annotated_lines(tasks, pages, annotators, partitions)
     outputs = materialize(document_lines(lines, ["analysis", "url"]), "outputs", work_dir)
     return task_results(tasks, pages, outputs)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int = 8, app: str = "lexiloom", **conf: str) -> SparkSession:
@@ -47,6 +49,23 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
+def claim_run(spark: SparkSession, label: str, facts: object, root: str | None, run_id: str) -> None:
+    """Tie a run to what it computes: a repeat with other ``facts`` is an error.
+
+    A digest of ``facts`` (paths, parameters, stop lists, by their ``repr``) lies beside the
+    run's stages.
+    """
+    digest = hashlib.sha256(repr(facts).encode()).hexdigest()
+    path = work_path(spark, label, root, run_id)
+    if is_complete(spark, path):
+        found = spark.read.text(path).first()[0]
+        if found != digest:
+            raise ValueError(f"run {run_id} was started with other input or parameters")
+    else:
+        row = spark.range(1).select(F.lit(digest).alias("value"))
+        row.write.mode("overwrite").text(path)
+
+
 def materialize(
     df: DataFrame, label: str, root: str | None = None, run_id: str | None = None
 ) -> DataFrame:

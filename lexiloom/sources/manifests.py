@@ -43,7 +43,7 @@ def number_lines(
         .select("file", "block", "first", "before")
     )
     splits = materialize(splits, "splits", work_dir)
-    line_no = (F.col("before") + F.col("seq") - F.col("first")).cast("int")
+    line_no = (F.col("before") + F.col("seq") - F.col("first")).cast("long")
     return stored.join(splits, ["file", "block"]).select(
         "app_id", line_no.alias("line_no"), "value"
     )

@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lexiloom.operators.annotate import AnnotatorFactory
-from lexiloom.operators.tasks import TASK, parse_tasks
+from lexiloom.operators.tasks import TASK, app_progress, parse_tasks
 from lexiloom.plans.text_analysis import run_tasks
 
+TASK_SCHEMA = (
+    "app_id string, line_no long, analysis string, url string, error string, "
+    "arrived timestamp, app_bucket int"
+)
+APP_BUCKETS = 64
+MAX_AGE = "36500d"
 RESULT_SCHEMA = (
-    "app_id string, line_no int, analysis string, url string, output string, error string, "
+    "app_id string, line_no long, analysis string, url string, output string, error string, "
     "ok boolean"
 )
 
@@ -22,16 +28,17 @@ def stream_tasks(
     spark: SparkSession,
     path: str,
     app_id: Column | None = None,
-    delay: str = "1 hour",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Parsed tasks of every manifest that arrives in ``path``, plus ``arrived``.
 
     A file is one message and one row, which gives its lines their numbers; very large
-    manifests belong to ``read_manifest``. Redelivered tasks are dropped while the
-    watermark on arrival (``delay``) still covers them, so that the state stays bounded.
+    manifests belong to ``read_manifest``. Every file is taken, however old it is, and the
+    stream keeps no state: tasks that are delivered again come again, and are recognised
+    by their results (``start_results``).
     """
-    reader = spark.readStream.format("text").option("wholetext", "true")
+    # Without it, Spark ignores files a week older than the newest.
+    reader = spark.readStream.format("text").option("wholetext", "true").option("maxFileAge", MAX_AGE)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     files = reader.load(path).select(
@@ -43,8 +50,44 @@ def stream_tasks(
     lines = files.select(
         app.alias("app_id"), "arrived", F.posexplode("lines").alias("line_no", "value")
     )
-    tasks = parse_tasks(lines)
-    return tasks.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(TASK)
+    return parse_tasks(lines.withColumn("line_no", F.col("line_no").cast("long")))
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("app_id"), F.lit(APP_BUCKETS)).cast("int")
+
+
+def _batches_before(spark: SparkSession, folder: str, number: int) -> list[str]:
+    """Batch folders below ``folder`` with a smaller number, from one listing."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(path)]
+    numbers = [int(name[6:]) for name in names if name.startswith("batch=")]
+    return [f"{folder}/batch={n}" for n in numbers if n < number]
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def new_tasks(batch: DataFrame, out: str, number: int) -> DataFrame:
+    """The tasks of a batch, each once, that no earlier batch below ``out`` has accepted.
+
+    Accepted tasks lie in folders by a hash of their app; only those of the batch's apps
+    are read.
+    """
+    spark = batch.sparkSession
+    own = batch.dropDuplicates(TASK).withColumn("app_bucket", _bucket())
+    buckets = [r[0] for r in own.select("app_bucket").distinct().collect()]
+    earlier = _batches_before(spark, f"{out}/tasks", number)
+    if not earlier:
+        return own
+    seen = spark.read.schema(f"{TASK_SCHEMA}, batch long").option("basePath", f"{out}/tasks").parquet(*earlier)
+    seen = seen.filter(F.col("app_bucket").isin(buckets)).select(*TASK)
+    return own.join(seen, TASK, "left_anti")
 
 
 def start_results(
@@ -59,17 +102,21 @@ def start_results(
     """Run the tasks of every micro-batch and write their results below ``out``.
 
     A batch owns a folder named by its number and overwrites it when it is repeated
-    after a failure, so every task has its result exactly once. ``available_now`` ends
-    the query when all waiting manifests are done.
+    after a failure, and leaves out tasks that an earlier batch has accepted, so every
+    task has its result exactly once, however often and however late its manifest is
+    delivered. ``available_now`` ends the query when all waiting manifests are done.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         # Written first, because the batch is read more than once below.
         waiting = f"{out}/tasks/batch={number}"
-        batch.write.mode("overwrite").parquet(waiting)
-        accepted = pages.sparkSession.read.schema(batch.schema).parquet(waiting)
-        results = run_tasks(accepted, pages, annotators, work_dir=work_dir)
+        stages = f"{work_dir or out}/stages/batch={number}"
+        rows = new_tasks(batch, out, number)
+        rows.write.mode("overwrite").partitionBy("app_bucket").parquet(waiting)
+        accepted = pages.sparkSession.read.schema(TASK_SCHEMA).parquet(waiting)
+        results = run_tasks(accepted.drop("app_bucket"), pages, annotators, work_dir=stages)
         results.write.mode("overwrite").parquet(f"{out}/results/batch={number}")
+        _remove(pages.sparkSession, stages)
 
     writer = tasks.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -79,6 +126,16 @@ def read_results(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).parquet(f"{out}/results/batch=*")
 
 
+def app_states(spark: SparkSession, out: str) -> DataFrame:
+    """``app_id, submitted, finished, outstanding, done`` from what ``start_results`` wrote.
+
+    Tasks are written before their results, so an app whose batch is still at work has
+    some outstanding. No stream state is kept for an app, finished or not.
+    """
+    tasks = spark.read.schema(f"{TASK_SCHEMA}, batch long").parquet(f"{out}/tasks")
+    return app_progress(tasks, read_results(spark, out))
+
+
 def start_progress(
     tasks: DataFrame,
     out: str,
@@ -86,7 +143,9 @@ def start_progress(
     mode: str = "update",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Running number of tasks per app, one folder per micro-batch below ``out``.
+    """Running number of delivered tasks per app, one folder per micro-batch below ``out``.
+
+    The stream keeps a counter per app; ``app_states`` needs none.
 
     ``update`` writes the apps that changed, ``complete`` all of them.
     """
