@@ -42,6 +42,9 @@ RATE = 0.5
 #: The share of probability that is spread over all classes alike.
 FLOOR = 1e-3
 PIECES = 16
+#: Weight changes that one task adds up.
+FAN_IN = 64
+CHANGES = "piece int, task long, steps long, change binary"
 WORDS_PER_BUCKET = 1_000_000
 END_HASH = np.uint64(0x0123456789ABCDEF)
 _SALT = np.random.default_rng(13).integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -300,10 +303,11 @@ def _learn(rows: Iterable[pa.RecordBatch], weights: np.ndarray, turn: int, round
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(PIECES), pa.int32()),
+                pa.array([TaskContext.get().partitionId()] * PIECES, pa.int64()),
                 pa.array([steps] * PIECES, pa.int64()),
                 pa.array([pack((change[a:z] / steps).astype(np.float16).ravel()) for a, z in zip(bounds, bounds[1:])], pa.binary()),
             ],
-            names=["piece", "steps", "change"],
+            names=["piece", "task", "steps", "change"],
         )
 
 
@@ -312,26 +316,38 @@ def _combine(table: pa.Table) -> pa.Table:
     total, steps = 0.0, table.column("steps").to_numpy()
     for n, blob in zip(steps.tolist(), table.column("change").to_pylist()):
         total = total + unpack(blob, np.float16).astype(np.float64) * n
+    mean = (total / max(1, steps.sum())).astype(np.float16)
     return pa.table(
         {
             "piece": pa.array([table.column("piece")[0].as_py()], pa.int32()),
+            "task": pa.array([table.column("task")[0].as_py() // FAN_IN], pa.int64()),
             "steps": pa.array([int(steps.sum())], pa.int64()),
-            "change": pa.array([(total / max(1, steps.sum())).astype(np.float32).tobytes()], pa.binary()),
+            "change": pa.array([pack(mean)], pa.binary()),
         }
     )
 
 
+def _averaged(changes: DataFrame, tasks: int) -> DataFrame:
+    """A row per piece, by a tree of sums of at most ``FAN_IN`` rows."""
+    while True:
+        group = F.floor(F.col("task") / FAN_IN)
+        changes = materialize(changes.groupBy("piece", group).applyInArrow(_combine, CHANGES), "weight-changes")
+        tasks = -(-tasks // FAN_IN)
+        if tasks <= 1:
+            return changes
+
+
 def train(coded: DataFrame, rounds: int = ROUNDS, epochs: int = EPOCHS, step: int = STEP) -> np.ndarray:
     """Class weights by feature row, from ``rounds`` averaged updates an epoch; the last row is the bias."""
     spark = coded.sparkSession
     weights = np.zeros(((1 << BITS) + 1, CLASSES), np.float32)
-    ddl = "piece int, steps long, change binary"
+    tasks = coded.rdd.getNumPartitions()
     for turn in range(rounds * epochs):
         shared = spark.sparkContext.broadcast(weights)
-        changes = coded.mapInArrow(lambda it, shared=shared, turn=turn: _learn(it, shared.value, turn, rounds, step), ddl)
-        merged = materialize(changes.groupBy("piece").applyInArrow(_combine, ddl), "weight-changes").orderBy("piece").collect()
+        changes = coded.mapInArrow(lambda it, shared=shared, turn=turn: _learn(it, shared.value, turn, rounds, step), CHANGES)
+        merged = _averaged(changes, tasks).orderBy("piece").collect()
         if merged:
-            change = np.concatenate([np.frombuffer(r.change, np.float32) for r in merged])
+            change = np.concatenate([unpack(r.change, np.float16) for r in merged]).astype(np.float32)
             weights = weights + change.reshape(weights.shape)
     return weights
 

@@ -73,3 +73,12 @@ def test_edges(spark):
     out = M.lm_scores(frame).collect()
     assert [r.n_tokens for r in out] == [3, 3] and out[0].score == out[1].score
     assert M.lm_scores(frame.limit(0)).count() == 0
+
+
+def test_weights_are_averaged_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(M, "FAN_IN", 3)
+    rows = [(k % 2, k // 2, k // 2 + 1, M.pack(np.full(4, k // 2, np.float16))) for k in range(40)]
+    out = M._averaged(spark.createDataFrame(rows, M.CHANGES), 20).orderBy("piece").collect()
+    mean = sum(k * (k + 1) for k in range(20)) / sum(range(1, 21))
+    assert [r.steps for r in out] == [210, 210]
+    assert all(abs(M.unpack(r.change, np.float16) - mean).max() < 0.05 for r in out)
