@@ -62,7 +62,7 @@ def passages(parsed: DataFrame) -> DataFrame:
 
     runs = F.split(F.array_join(F.transform("lines", marked), "\n"), MARK)
     blocks = parsed.select("conv_id", "turn", F.posexplode(runs).alias("block", "run")).filter("run <> ''")
-    text = F.substring_index("run", LEVEL, -1)
+    text = F.btrim(F.substring_index("run", LEVEL, -1), F.lit("\n"))
     return blocks.select(
         "conv_id",
         "turn",
