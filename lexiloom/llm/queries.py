@@ -130,7 +130,42 @@ SELECT doc_id, n AS n_sentences, ids AS sentence_ids,
        array_to_string(list_filter([{", ".join(found)}], lambda x: x IS NOT NULL), ',') AS licenses FROM r{len(licenses.RULES)}"""
 
 
+#: Quote linking in the same steps; quoted blocks are numbered runs of lines of one level.
+QUOTES_SQL = r"""WITH RECURSIVE
+msg AS (SELECT row_number() OVER () AS m, conv_id, turn, role,
+  string_split(translate(coalesce(text, ''), chr(1) || chr(2) || chr(13), ''), chr(10)) AS l FROM conversations),
+levelled AS (SELECT *, list_transform(l, lambda x: CASE WHEN regexp_matches(x, '^[ \t]*>')
+    THEN length(regexp_extract(x, '^[ \t>]*')) - length(replace(regexp_extract(x, '^[ \t>]*'), '>', '')) ELSE 0 END) AS v FROM msg),
+owned AS (SELECT *, regexp_replace(trim(array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: v[i] = 0
+      AND NOT (coalesce(v[i + 1], 0) > 0 AND regexp_matches(l[i], '(?i)\b(wrote|schrieb|écrit|escribió) ?:[ \t]*$'))),
+    lambda i: l[i]), chr(10)), chr(32) || chr(9) || chr(10)), '\n[ \t]*\n[ \t\n]*', chr(10) || chr(10), 'g') AS own FROM levelled),
+line AS (SELECT m, conv_id, turn, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS x, unnest(v) AS lv FROM levelled),
+flagged AS (SELECT *, CASE WHEN i = 1 OR lv <> lag(lv) OVER w
+    OR trim(regexp_replace(lag(x) OVER w, '^[ \t>]*', ''), chr(32) || chr(9)) = '' THEN 1 ELSE 0 END AS new
+  FROM line WINDOW w AS (PARTITION BY m ORDER BY i)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY m ORDER BY i) AS run FROM flagged),
+block AS (SELECT m, conv_id, turn, run, any_value(lv) AS lv, trim(regexp_replace(lower(string_agg(
+    CASE WHEN lv > 0 THEN regexp_replace(x, '^[ \t>]*', '') ELSE x END, chr(10) ORDER BY i)), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS p
+  FROM numbered GROUP BY m, conv_id, turn, run),
+origin AS (SELECT conv_id, p, min(turn) AS source FROM (SELECT conv_id, turn, p FROM block WHERE lv = 0
+    UNION ALL SELECT conv_id, turn, trim(regexp_replace(lower(own), '[ \t\n\x0B\f\r]+', ' ', 'g')) FROM owned)
+  WHERE p <> '' GROUP BY conv_id, p),
+link AS (SELECT b.conv_id, b.turn, b.run, b.lv, o.source FROM block b JOIN origin o USING (conv_id, p)
+  WHERE b.lv > 0 AND b.p <> '' AND o.source < b.turn),
+parent AS (SELECT conv_id, turn, source AS parent FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn
+  ORDER BY lv, source DESC) AS k FROM link) WHERE k = 1),
+counted AS (SELECT conv_id, turn, count(DISTINCT run) AS quotes FROM link GROUP BY conv_id, turn),
+chain(conv_id, turn, root, depth) AS (SELECT conv_id, turn, parent, 1::BIGINT FROM parent
+  UNION ALL SELECT c.conv_id, c.turn, p.parent, c.depth + 1 FROM chain c JOIN parent p ON p.conv_id = c.conv_id AND p.turn = c.root),
+top AS (SELECT conv_id, turn, arg_max(root, depth) AS root, max(depth) AS depth FROM chain GROUP BY conv_id, turn)
+SELECT o.conv_id, o.turn, o.role, p.parent, CASE WHEN o.conv_id IS NOT NULL THEN coalesce(t.root, o.turn) END AS root,
+       coalesce(t.depth, 0) AS depth, coalesce(c.quotes, 0) AS quotes, o.own AS text
+FROM owned o LEFT JOIN parent p ON p.conv_id = o.conv_id AND p.turn = o.turn
+LEFT JOIN top t ON t.conv_id = o.conv_id AND t.turn = o.turn LEFT JOIN counted c ON c.conv_id = o.conv_id AND c.turn = o.turn"""
+
+
 ORACLES = {
+    "op4_quotes": QUOTES_SQL,
     "op8_licenses": license_sql(),
     "op9_minhash": f"""WITH RECURSIVE docs AS (SELECT doc_id, text FROM documents), {NEAR_SQL}
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near""",

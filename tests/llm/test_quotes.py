@@ -67,3 +67,18 @@ def test_native_and_empty(spark, messages):
     assert "Python" not in plan and "Arrow" not in plan
     repeated = messages.unionByName(messages)
     assert Q.reply_order(repeated).count() == 2 * len(MESSAGES)
+
+
+def test_against_sql(spark):
+    import duckdb
+    import pandas as pd
+    from lexiloom.llm.queries import QUOTES_SQL
+
+    texts = [FIRST, SECOND_REAL, THIRD, "> Fine.\n>\n> Yes, at noon.\nok\n\nok", "ok\nB wrote :\n>ok\n \n>> ok", ">\n> >  \nx", "Yes, at noon.", "> x\n\n> Fine.\n> x"]
+    rows = [(c, t, "u", texts[(5 * c + t * (c + 1)) % len(texts)]) for c in range(9) for t in range(12)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=frame.columns))
+    result = con.sql(QUOTES_SQL)
+    out = Q.reply_order(frame).select(*result.columns)
+    assert sorted(map(repr, result.fetchall())) == sorted(repr(tuple(r)) for r in out.collect())
