@@ -10,8 +10,9 @@ share a long passage, one in fifty is compared.
 Documents with the same shingles are one class, whatever their number, and only the class's least id
 takes part. A half key that one class alone has is dropped before pairs are formed. Within a
 table's bucket members are first compared with one leader, then with another, and their
-components are contracted; only members still apart are compared with each other. Every link is
-confirmed on the full shingle sets.
+components are contracted. Members still apart are compared with each other, at the first table that a pair
+shares and if sketches of ``BITS`` one-bit minhashes are not more than ``DEVIATIONS`` standard deviations below the
+similarity (one in a million pairs that are alike). Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import TO_LOWER, mix, span_hashes, text_chunks, texts_of, word_bounds
@@ -30,10 +31,13 @@ from lexiloom.session import materialize
 WORDS = 5
 PERCENT = 85
 HALVES, PER_HALF = 21, 5
+BITS, DEVIATIONS = 1024, 5
 _RANDOM = np.random.default_rng(20240909)
 _FLIP = _RANDOM.integers(0, 2**63, HALVES * PER_HALF, dtype=np.uint64)
 _TIMES = _RANDOM.integers(0, 2**63, HALVES * PER_HALF, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RANDOM.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BIT_FLIP = _RANDOM.integers(0, 2**32, BITS, dtype=np.uint32)
+_BIT_TIMES = _RANDOM.integers(0, 2**31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
@@ -95,11 +99,29 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return texts_of(docs).mapInArrow(lambda it: _sign(it, words), ddl)
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """One-bit minhashes of every set, ``BITS`` of them in 64-bit words."""
+    some = np.array([len(x) > 0 for x in sets], bool)
+    bits = np.zeros((len(sets), BITS), np.uint8)
+    if some.any():
+        flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
+        sizes = np.array([len(x) for x in sets])
+        starts = (np.cumsum(sizes) - sizes)[some]
+        for k in range(BITS):
+            least = np.minimum.reduceat((flat ^ _BIT_FLIP[k]) * _BIT_TIMES[k], starts)
+            bits[some, k] = mix(least.astype(np.uint64)) & np.uint64(1)
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in text_chunks(batches):
-        sets = [x.tobytes() for x in shingle_sets(data, offsets, words)]
+        sets = shingle_sets(data, offsets, words)
+        words_of = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(sets) + 1) * (BITS // 64), pa.int32()), pa.array(sketches(sets).ravel())
+        )
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "shingles"]
+            [rows.column("doc_id"), pa.array([x.tobytes() for x in sets], pa.binary()), words_of],
+            names=["doc_id", "shingles", "sketch"],
         )
 
 
@@ -117,19 +139,38 @@ def _confirm(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 
 def _table_rows(halves: DataFrame) -> DataFrame:
-    """``key, rep, n`` for every pair of shared half keys of a class."""
+    """``key, place, rep, n`` for every pair of shared half keys of a class; ``place`` says which two they are."""
     lists = halves.groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("half", "value"))).alias("own"))
     pairs = F.expr(
-        "flatten(transform(own, (x, i) -> transform(slice(own, i + 2, 99), y -> xxhash64(x.half, y.half, x.value, y.value))))"
+        "flatten(transform(own, (x, i) -> transform(slice(own, i + 2, 99), "
+        "y -> struct(xxhash64(x.half, y.half, x.value, y.value) AS key, 100 * x.half + y.half AS place))))"
     )
-    return lists.filter(F.size("own") > 1).select("rep", "n", F.explode(pairs).alias("key"))
+    return lists.filter(F.size("own") > 1).select("rep", "n", F.inline(pairs))
 
 
-def _close(percent: int):
+def _sides(side: str) -> list[tuple[str, str]]:
+    return [("rep", side), ("n", side + "n"), ("comp", side + "c"), ("halves", side + "halves"), ("sketch", side + "sketch")]
+
+
+def _close(percent: int) -> Column:
     """Sizes that allow the similarity."""
     return F.lit(100) * F.least("an", "bn") >= F.lit(percent) * F.greatest("an", "bn")
 
 
+def _alike(percent: int) -> Column:
+    """Sketches that do not rule out the similarity."""
+    agree = (1 + percent / 100) / 2
+    most = BITS * (1 - agree) + DEVIATIONS * (BITS * agree * (1 - agree)) ** 0.5
+    words = [F.bit_count(F.get("asketch", k).bitwiseXOR(F.get("bsketch", k))) for k in range(BITS // 64)]
+    return sum(words[1:], words[0]) <= int(most)
+
+
+def _first_table() -> Column:
+    """Whether ``place`` names the first two half keys that agree, so that a pair comes from one table only."""
+    same = "array_join(zip_with(ahalves, bhalves, (x, y) -> if(x = y, '1', '0')), '')"
+    return F.expr(f"place = 100 * (instr({same}, '1') - 1) + locate('1', {same}, instr({same}, '1') + 1) - 1")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
@@ -161,7 +202,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     # Full sets of the classes that share a bucket.
     wanted = tables.select(F.col("rep").alias("doc_id")).distinct()
     own = texts_of(docs).join(wanted, "doc_id", "left_semi")
-    sets = materialize(own.mapInArrow(lambda it: _sets(it, words), "doc_id long, shingles binary"), "shingle-sets")
+    sets = materialize(own.mapInArrow(lambda it: _sets(it, words), "doc_id long, shingles binary, sketch array<long>"), "shingle-sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         full = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left_set")), "a")
@@ -181,10 +222,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         ).filter("low <> high")
         leaders = materialize(mixed.select("key", "lead.*"), f"leaders-{turn}")
         if turn == "rest":
-            live = materialize(placed.join(leaders.select("key"), "key", "left_semi"), "still-apart")
-            left = live.select("key", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-            right = live.select("key", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"))
-            pairs = left.join(right, (left["key"] == right["key"]) & (F.col("ac") < F.col("bc")) & _close(percent))
+            live = placed.join(leaders.select("key"), "key", "left_semi")
+            known = reps.select("rep", "halves").join(sets.select(F.col("doc_id").alias("rep"), "sketch"), "rep")
+            live = materialize(live.join(known, "rep"), "still-apart")
+            left = live.select("key", "place", *(F.col(x).alias(y) for x, y in _sides("a")))
+            right = live.select("key", *(F.col(x).alias(y) for x, y in _sides("b")))
+            fits = (F.col("ac") < F.col("bc")) & _close(percent) & _alike(percent) & _first_table()
+            pairs = left.join(right, (left["key"] == right["key"]) & fits)
         else:
             left = leaders.select("key", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
             right = placed.select("key", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"))
@@ -200,7 +244,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         found = components(links)
         if turn != "rest":
             placed = materialize(
-                tables.join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp")),
+                tables.join(found, F.col("rep") == F.col("node"), "left").select("key", "place", "rep", "n", F.coalesce("comp", "rep").alias("comp")),
                 f"placed-{turn}",
             )
     classes = reps.select("set1", "set2", "rep").join(found, F.col("rep") == F.col("node"), "left")
