@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-MEMORY = 1 << 26
+MEMORY = 1 << 28
 #: Queue entries that are popped at a time.
 PIECE = 1 << 20
 

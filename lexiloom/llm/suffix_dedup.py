@@ -9,8 +9,8 @@
    smallest are covered.
 4. Covered spans go back to their batch, which unites them per document and hashes what is left.
 
-Frequent strings meet in one shard only as one stretch per batch and distinct surroundings. A shard's memory is bounded
-by the queues' limit, not by its rows.
+Frequent strings meet in one shard only as one stretch per batch and distinct surroundings. A shard's text and queues
+spill to disk beyond ``memory``; its types, names and the places of its stretches (some 20 bytes per byte of text) do not.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from lexiloom.session import materialize
 LENGTH = 50
 BATCH = 1 << 24
 #: Anchor hashes in one task's sum, and bytes of text per shard.
-ASKED, SHARD = 2_000_000, 1 << 25
+ASKED, SHARD = 2_000_000, 1 << 24
 
 BATCHES = "batch long, n_bytes long, docs binary, sizes binary, text binary"
 
