@@ -112,6 +112,12 @@ class Sweep:
         order = np.argsort(chars, kind="stable")
         ok, chars = ok[order], chars[order]
         first = np.flatnonzero(np.append(True, chars[1:] != chars[:-1])) if len(chars) else np.zeros(0, np.int64)
+        if self.depth == 1:
+            # Names only: no prefixes are carried.
+            for k, a in enumerate(first.tolist()):
+                z = int(first[k + 1]) if k + 1 < len(first) else len(ok)
+                self.queues.push(int(chars[a]), at[ok[a:z]] - 1, np.zeros(z - a, np.uint8))
+            return
         before = np.empty(len(ok), np.int64)
         before[1:] = ok[:-1]
         before[first] = -1

@@ -34,7 +34,7 @@ from lexiloom.session import materialize
 LENGTH = 50
 BATCH = 1 << 24
 #: Anchor hashes in one task's sum, and bytes of text per shard.
-ASKED, SHARD = 2_000_000, 1 << 24
+ASKED, SHARD = 2_000_000, 1 << 23
 
 BATCHES = "batch long, n_bytes long, docs binary, sizes binary, text binary"
 
@@ -345,7 +345,7 @@ def remove_repeats(
     total = batches.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     # About one anchor in 15 bytes.
     buckets = max(least, total // 15 // ASKED + 1)
-    shards = max(least, total // shard_bytes + 1)
+    shards = max(2 * least, total // shard_bytes + 1)
     asked = batches.mapInArrow(lambda it: _ask(it, length, buckets), "bucket int, batch long, anchors binary")
     answers = asked.groupBy("bucket").applyInArrow(_answer, "batch long, bucket int, shared binary").groupBy("batch")
     cut = batches.groupBy("batch").cogroup(answers).applyInArrow(lambda a, b: _cut(a, b, length, buckets, shards), CUT)
