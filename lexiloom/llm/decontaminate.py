@@ -1,13 +1,15 @@
 """Benchmark passages in documents, up to an edit distance over words.
 
-Windows as long as an item are embedded by random walks (Chakraborty, Goldenberg and Koucky): a step
+Items are cut into pieces of at most ``PIECE`` words, evenly. By the pigeonhole principle, of a match with ``d``
+edits one of ``m`` pieces has at most ``d // m``, so a walk need not stay in step any longer than a piece, however
+long the item is. Windows as long as a piece are embedded by random walks (Chakraborty, Goldenberg and Koucky): a step
 writes the word the walk stands on and moves on or not by a random bit that depends on the step and
 the word. Strings within a small edit distance get embeddings of small Hamming distance, so tables
 keyed by a few sampled steps find them; walks and samples are repeated until the target recall
 is reached. A walk takes two steps a word on average, and as many are sampled. What the tables find is confirmed by the exact edit distance.
 
-Only windows that share a run of words with the item at the fitting place are embedded. By the pigeonhole
-principle no match is lost: with ``d`` edits, an item of ``n`` words keeps an unchanged run of at
+Only windows that share a run of words with the piece at the fitting place are embedded. By the pigeonhole
+principle no match is lost: with ``d`` edits, a piece of ``n`` words keeps an unchanged run of at
 least ``(n - d) / (d + 1)`` words.
 
 Documents are read once per block of items and not shuffled. Items are the stated queries; a block's index
@@ -28,6 +30,8 @@ from lexiloom.llm.common import SPACES, TO_LOWER, mix, run_starts, span_hashes,
 from lexiloom.session import materialize
 
 BLOCK_ITEMS = 20_000
+#: Words of a piece at most.
+PIECE = 24
 MIN_WORDS = 5
 SAMPLED = 3
 HAMMING = 0.6
@@ -40,6 +44,7 @@ PLAIN[[b for b in range(33, 127) if not chr(b).isalnum()]] = SPACES[0]
 _RANDOM = np.random.default_rng(77)
 _PLACE = _RANDOM.integers(0, 2**63, 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WALK_KEYS = _RANDOM.integers(0, 2**63, (WALKS, 64), dtype=np.uint64)
+_SAMPLE = _RANDOM.integers(0, 2**63, SAMPLED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 END = np.uint64(0)
 
 
@@ -61,7 +66,7 @@ def allowed_edits(n: int, percent: int) -> int:
 
 
 class Items:
-    """A block of items: seeds, and the sampled steps of their embeddings."""
+    """A block of items: seeds, and the sampled steps of the embeddings of their pieces."""
 
     def __init__(self, ids: list[int], texts: list[str], percent: int, recall: float):
         column = pa.array(texts, pa.large_string())
@@ -73,37 +78,43 @@ class Items:
         self.words = [words[first[i] : first[i + 1]] for i in keep]
         self.size = np.array([len(w) for w in self.words], np.int64)
         self.edits = np.array([allowed_edits(int(n), percent) for n in self.size], np.int64)
+        self.masks = []
+        for own in self.words:
+            masks: dict[int, int] = {}
+            for k, word in enumerate(own.tolist()):
+                masks[word] = masks.get(word, 0) | (1 << k)
+            self.masks.append(masks)
+        count = -(-self.size // PIECE)
+        self.item = np.repeat(np.arange(len(keep)), count)
+        nth = np.arange(len(self.item)) - np.repeat(np.cumsum(count) - count, count)
+        self.offset = nth * self.size[self.item] // count[self.item]
+        self.length = (nth + 1) * self.size[self.item] // count[self.item] - self.offset
+        pieces = [self.words[i][o : o + n] for i, o, n in zip(self.item.tolist(), self.offset.tolist(), self.length.tolist())]
         seeds = {}
-        for i, own in enumerate(self.words):
-            run = min(3, -(-(len(own) - int(self.edits[i])) // (int(self.edits[i]) + 1)))
-            hashes, at, item = seeds.setdefault(run, ([], [], []))
+        for i, (own, edits) in enumerate(zip(pieces, (self.edits // count)[self.item].tolist())):
+            run = min(3, -(-(len(own) - edits) // (edits + 1)))
+            hashes, at, piece = seeds.setdefault(run, ([], [], []))
             n = len(own) - run + 1
             hashes.append(self.runs(own, run))
             at.append(np.arange(n))
-            item.append(np.full(n, i))
+            piece.append(np.full(n, i))
         self.seeds = {}
         for run, columns in seeds.items():
-            hashes, at, item = map(np.concatenate, columns)
+            hashes, at, piece = map(np.concatenate, columns)
             order = np.argsort(hashes, kind="stable")
             hashes = hashes[order]
             seen = np.zeros(1 << 22, bool)
             seen[hashes >> np.uint64(42)] = True
-            self.seeds[run] = hashes, at[order], item[order], seen
+            self.seeds[run] = hashes, at[order], piece[order], seen
         per_walk = -(-tables_for(recall, HAMMING) // WALKS)
         self.samples = np.random.default_rng(99).random((WALKS, per_walk, SAMPLED))
-        n, longest = len(self.words), int(self.size.max(initial=0))
-        padded = np.zeros((n, longest + 1), np.uint64)
-        for i, own in enumerate(self.words):
-            padded[i, : len(own)] = own
-        flat = np.append(padded.ravel(), END)
-        starts = np.arange(n) * (longest + 1)
-        self.keys = [self.walk(r, flat, starts, starts + self.size, self.size) for r in range(WALKS)] if n else []
-        self.masks = []
-        for own in self.words:
-            masks: dict[int, int] = {}
-            for k, word in enumerate(own.tolist()):
-                masks[word] = masks.get(word, 0) | (1 << k)
-            self.masks.append(masks)
+        self.keys = [np.zeros((len(pieces), per_walk), np.uint64) for _ in range(WALKS)]
+        for k in range(0, len(pieces), WINDOWS):
+            size = self.length[k : k + WINDOWS]
+            flat = np.concatenate([*pieces[k : k + WINDOWS], [END]])
+            starts = np.cumsum(size) - size
+            for r in range(WALKS):
+                self.keys[r][k : k + WINDOWS] = self.walk(r, flat, starts, starts + size, size)
 
     @staticmethod
     def runs(words: np.ndarray, run: int) -> np.ndarray:
@@ -113,7 +124,7 @@ class Items:
         return mix(out)
 
     def walk(self, r: int, words: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Sampled steps of walk ``r`` over windows of ``words``: window x table x sample."""
+        """Keys of the sampled steps of walk ``r`` over windows of ``words``: window x table; ``END`` for those beyond the end."""
         steps = STEPS * int(size.max())
         out = np.zeros((len(starts), steps), np.uint64)
         at = starts.copy()
@@ -126,12 +137,14 @@ class Items:
             out[:, step] = word
             at += ((bits[here] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
         columns = (self.samples[r][None] * (STEPS * size)[:, None, None]).astype(np.int64)
-        return out[np.arange(len(starts))[:, None, None], columns]
+        sampled = out[np.arange(len(starts))[:, None, None], columns]
+        keys = mix((sampled * _SAMPLE).sum(axis=2, dtype=np.uint64)) | np.uint64(1)
+        return np.where((sampled == END).any(axis=2), END, keys)
 
     def windows(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item, first word and row of every window that holds a seed at its place."""
+        """Piece, first word and row of every window that holds a seed at its place."""
         found = [np.zeros((3, 0), np.int64)]
-        for run, (hashes, at, item, seen) in self.seeds.items():
+        for run, (hashes, at, piece, seen) in self.seeds.items():
             own = self.runs(words, run)
             place = np.flatnonzero(seen[own >> np.uint64(42)])
             low = np.searchsorted(hashes, own[place], "left")
@@ -142,20 +155,20 @@ class Items:
             place, low, count = place[inside], low[inside], count[inside]
             which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             row = np.searchsorted(first, place, "right") - 1
-            found.append(np.stack([item[which], np.repeat(place, count) - at[which], np.repeat(row, count)]))
+            found.append(np.stack([piece[which], np.repeat(place, count) - at[which], np.repeat(row, count)]))
         found = np.concatenate(found, axis=1)
-        item, start, row = found[:, np.lexsort(found)]
-        one = run_starts(item, start, row)
-        return item[one], start[one], row[one]
+        piece, start, row = found[:, np.lexsort(found)]
+        one = run_starts(piece, start, row)
+        return piece[one], start[one], row[one]
 
     def candidates(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item, first word and row of the windows that a table finds."""
-        item, start, rows = self.windows(words, first)
+        """Piece, first word and row of the windows that a table finds."""
+        piece, start, rows = self.windows(words, first)
         flat = np.append(words, END)
         out = []
-        for k in range(0, len(item), WINDOWS):
-            i, s = item[k : k + WINDOWS], start[k : k + WINDOWS]
-            n = self.size[i]
+        for k in range(0, len(piece), WINDOWS):
+            i, s = piece[k : k + WINDOWS], start[k : k + WINDOWS]
+            n = self.length[i]
             row = rows[k : k + WINDOWS]
             low, high = first[row], first[row + 1]
             begin, stop = np.clip(s, low, high), np.clip(s + n, low, high)
@@ -167,7 +180,7 @@ class Items:
                 part = np.append(flat[base:top], END)
                 keys = self.walk(r, part, begin[rest] - base, stop[rest] - base, n[rest])
                 # Two walks past their ends do not agree.
-                same = ((keys == self.keys[r][i[rest]]) & (keys != END)).all(axis=2).any(axis=1)
+                same = ((keys == self.keys[r][i[rest]]) & (keys != END)).any(axis=1)
                 hit[rest[same]] = True
                 rest = rest[~same]
                 if not len(rest):
@@ -200,13 +213,26 @@ class Items:
     def matches(self, words: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], int]:
         """Least edits for every (row, item) that matches."""
         out: dict[tuple[int, int], int] = {}
-        item, start, row = self.candidates(words, first)
-        for i, s, r in zip(item.tolist(), start.tolist(), row.tolist()):
+        piece, start, row = self.candidates(words, first)
+        item = self.item[piece]
+        begin, d = start - self.offset[piece], self.edits[item]
+        a, z = np.maximum(first[row], begin - d), np.minimum(first[row + 1], begin + self.size[item] + d)
+        order = np.lexsort((a, item, row))
+        # Stretches of a row that overlap are compared with their item at once.
+        reach, at = -1, None
+        stretches = []
+        for k in order.tolist():
+            if at == (row[k], item[k]) and a[k] <= reach:
+                reach = max(reach, int(z[k]))
+                stretches[-1][3] = reach
+            else:
+                at, reach = (row[k], item[k]), int(z[k])
+                stretches.append([int(row[k]), int(item[k]), int(a[k]), reach])
+        for r, i, low, high in stretches:
             d = int(self.edits[i])
             if out.get((r, i), d + 1) == 0:
                 continue
-            a, z = max(int(first[r]), s - d), min(int(first[r + 1]), s + int(self.size[i]) + d)
-            got = self.distance(i, words[a:z].tolist())
+            got = self.distance(i, words[low:high].tolist())
             if got <= d:
                 out[r, i] = min(got, out.get((r, i), got))
         return out
@@ -232,13 +258,13 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = 80, recall: float
 
     Words are runs without white space and ASCII punctuation, A-Z lower-cased. An item of ``n`` words
     matches a document that has a run of words within ``n * (100 - percent) // 100`` word insertions,
-    deletions and replacements of it. ``recall`` is what the tables aim at for pairs whose embeddings
-    differ in a share ``HAMMING`` of their steps.
+    deletions and replacements of it. ``recall`` is what the tables aim at for pairs of pieces
+    whose embeddings differ in a share ``HAMMING`` of their steps.
 
     Null and empty texts, on either side, match nothing, nor do items of fewer than ``MIN_WORDS`` words
     or without ``item_id``. Repeated documents or items repeat their matches (once per ``doc_id`` and
-    ``item_id``). Empty tables give no rows; other columns do not matter. More than ``block`` items are
-    taken in blocks, with one pass over the documents each.
+    ``item_id``). Empty tables give no rows; other columns do not matter. More than ``block`` items are taken in blocks, with one
+    pass over the documents each.
     """
     texts = texts_of(docs)
     queries = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")

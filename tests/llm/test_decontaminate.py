@@ -103,3 +103,25 @@ def test_edges(spark, rows):
 def test_tables_reach_the_recall():
     n, hit = D.tables_for(0.99, 0.75), 0.25**D.SAMPLED
     assert 1 - (1 - hit) ** n >= 0.99 > 1 - (1 - hit) ** (n - 1)
+
+
+def edited(own, n, pool, rnd):
+    """``own`` with exactly ``n`` words removed, replaced or put in."""
+    own = list(own)
+    for k in sorted(rnd.sample(range(len(own)), n), reverse=True):
+        kind = rnd.randrange(3)
+        own[k : k + (kind != 2)] = [] if kind == 0 else [rnd.choice(pool)]
+    return own
+
+
+@pytest.mark.parametrize("n", [24, 59, 100, 200, 400])
+def test_recall_at_the_full_allowance(n):
+    rnd = random.Random(n)
+    pool = [f"w{i}" for i in range(5000)]
+    items = [[rnd.choice(pool) for _ in range(n)] for _ in range(150)]
+    index = D.Items(list(range(150)), [" ".join(x) for x in items], 80, 0.99)
+    docs = [" ".join(["x", *edited(x, n // 5, pool, rnd), "y"]) for x in items]
+    data = np.frombuffer("".join(docs).encode(), np.uint8)
+    found = index.matches(*D.plain_words(data, np.cumsum([0, *map(len, docs)])))
+    assert sum((k, k) in found for k in range(150)) >= 0.99 * 150
+    assert all(r == i and least_edits(items[i], docs[r].split()) == e for (r, i), e in list(found.items())[:10])
