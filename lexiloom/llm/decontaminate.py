@@ -13,7 +13,7 @@ principle no match is lost: with ``d`` edits, a piece of ``n`` words keeps an un
 least ``(n - d) / (d + 1)`` words.
 
 Documents are read once per block of items and not shuffled. Items are the stated queries; a block's index
-is bounded by ``BLOCK_ITEMS`` and sent to the tasks.
+is bounded by ``BLOCK_ITEMS`` and ``BLOCK_BYTES`` and sent to the tasks. An item has no greatest length.
 """
 
 from __future__ import annotations
@@ -30,8 +30,9 @@ from lexiloom.llm.common import SPACES, TO_LOWER, mix, run_starts, span_hashes,
 from lexiloom.session import materialize
 
 BLOCK_ITEMS = 20_000
-#: Words of a piece at most.
-PIECE = 24
+BLOCK_BYTES = 16 << 20
+#: Words of a piece at most, and words of an item up to which its bit vectors are kept.
+PIECE, KEPT = 24, 2048
 MIN_WORDS = 5
 SAMPLED = 3
 HAMMING = 0.6
@@ -43,7 +44,6 @@ PLAIN = TO_LOWER.copy()
 PLAIN[[b for b in range(33, 127) if not chr(b).isalnum()]] = SPACES[0]
 _RANDOM = np.random.default_rng(77)
 _PLACE = _RANDOM.integers(0, 2**63, 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WALK_KEYS = _RANDOM.integers(0, 2**63, (WALKS, 64), dtype=np.uint64)
 _SAMPLE = _RANDOM.integers(0, 2**63, SAMPLED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 END = np.uint64(0)
 
@@ -61,6 +61,15 @@ def plain_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return span_hashes(data, starts, ends) | np.uint64(1), np.searchsorted(rows, np.arange(len(offsets)))
 
 
+def _bits(places: list[int], n: int) -> int:
+    """A number with those of its ``n`` bits set."""
+    if len(places) < 8:
+        return sum(1 << k for k in places)
+    bits = np.zeros(n, np.uint8)
+    bits[places] = 1
+    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+
 def allowed_edits(n: int, percent: int) -> int:
     return n * (100 - percent) // 100
 
@@ -78,12 +87,7 @@ class Items:
         self.words = [words[first[i] : first[i + 1]] for i in keep]
         self.size = np.array([len(w) for w in self.words], np.int64)
         self.edits = np.array([allowed_edits(int(n), percent) for n in self.size], np.int64)
-        self.masks = []
-        for own in self.words:
-            masks: dict[int, int] = {}
-            for k, word in enumerate(own.tolist()):
-                masks[word] = masks.get(word, 0) | (1 << k)
-            self.masks.append(masks)
+        self.masks: dict[int, dict[int, int]] = {}
         count = -(-self.size // PIECE)
         self.item = np.repeat(np.arange(len(keep)), count)
         nth = np.arange(len(self.item)) - np.repeat(np.cumsum(count) - count, count)
@@ -131,7 +135,7 @@ class Items:
         beyond = len(words) - 1
         for step in range(steps):
             if step % 64 == 0:
-                bits = mix(words ^ _WALK_KEYS[r, step // 64])
+                bits = mix(words ^ mix(np.full(1, r << 32 | step // 64, np.uint64) + _PLACE[3]))
             here = np.where(at < stops, at, beyond)
             word = words[here]
             out[:, step] = word
@@ -192,11 +196,20 @@ class Items:
 
     def distance(self, item: int, words: list[int]) -> int:
         """Least edit distance of the item to any run of ``words``, by bit vectors."""
-        masks, n = self.masks[item].get, len(self.words[item])
+        own, n = self.words[item], len(self.words[item])
+        masks = self.masks.get(item)
+        if masks is None:
+            masks, needed = {}, None if n <= KEPT else set(words)
+            for k, word in enumerate(own.tolist()):
+                if needed is None or word in needed:
+                    masks.setdefault(word, []).append(k)
+            masks = {word: _bits(places, n) for word, places in masks.items()}
+            if needed is None:
+                self.masks[item] = masks
         full, top = (1 << n) - 1, 1 << (n - 1)
         plus, minus, score, best = full, 0, n, n
         for word in words:
-            eq = masks(word, 0)
+            eq = masks.get(word, 0)
             xv = eq | minus
             xh = (((eq & plus) + plus) ^ plus) | eq
             up = minus | (~(xh | plus) & full)
@@ -263,12 +276,13 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = 80, recall: float
 
     Null and empty texts, on either side, match nothing, nor do items of fewer than ``MIN_WORDS`` words
     or without ``item_id``. Repeated documents or items repeat their matches (once per ``doc_id`` and
-    ``item_id``). Empty tables give no rows; other columns do not matter. More than ``block`` items are taken in blocks, with one
-    pass over the documents each.
+    ``item_id``). Empty tables give no rows; other columns do not matter. More than ``block`` items, or
+    ``BLOCK_BYTES`` of their text, are taken in blocks, with one pass over the documents each. Items may have any length.
     """
     texts = texts_of(docs)
     queries = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
-    blocks = max(1, -(-queries.count() // block))
+    n, size = queries.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // block), -(-size // BLOCK_BYTES))
     out = None
     for k in range(blocks):
         own = queries.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)

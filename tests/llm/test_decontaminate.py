@@ -125,3 +125,22 @@ def test_recall_at_the_full_allowance(n):
     found = index.matches(*D.plain_words(data, np.cumsum([0, *map(len, docs)])))
     assert sum((k, k) in found for k in range(150)) >= 0.99 * 150
     assert all(r == i and least_edits(items[i], docs[r].split()) == e for (r, i), e in list(found.items())[:10])
+
+
+@pytest.mark.parametrize("n", [2049, 7000])
+def test_very_long_item(spark, rows, n):
+    rnd = random.Random(n)
+    pool = [f"w{i}" for i in range(3000)]
+    long, short = [rnd.choice(pool) for _ in range(n)], "one two three four five six seven eight nine ten"
+    near, far = edited(long, n // 6, pool, rnd), edited(long, n // 3, pool, rnd)
+    docs = [(1, " ".join(["x"] * 50 + near)), (2, " ".join(far)), (3, " ".join(long)), (4, short), (5, " ".join(long[: n // 2]))]
+    items = spark.createDataFrame([(1, " ".join(long)), (2, short)], ITEMS)
+    found = {(d, i): e for d, i, e in rows(D.matches(spark.createDataFrame(docs, "doc_id long, text string"), items))}
+    assert found.keys() == {(1, 1), (3, 1), (4, 2)} and found[3, 1] == found[4, 2] == 0 and 0 < found[1, 1] <= n // 6
+
+
+def test_blocks_are_bounded_by_their_text(spark, cases, monkeypatch, rows):
+    docs, items = (spark.createDataFrame(x, s) for x, s in zip(cases, ("doc_id long, text string", ITEMS)))
+    whole = rows(D.matches(docs, items))
+    monkeypatch.setattr(D, "BLOCK_BYTES", 1000)
+    assert rows(D.matches(docs, items)) == whole
