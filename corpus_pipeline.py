@@ -28,7 +28,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near duplicates."""
-    return minhash.keep_one(docs, words=5, percent=85)
+    return minhash.keep_one(docs, words=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 Few small *half keys*, each of a few minhashes, are computed per document; the keys of the
 hash tables are all pairs of two half keys. ``h`` half keys give ``h * (h - 1) / 2`` tables, so the
-number of minhashes grows with the square root of the number of tables. With 21 half keys of
-5 minhashes (105 minhashes, 210 tables of 10), a pair of similarity 0.85 is missed if at most one of
-21 half keys agrees: fewer than one in ten thousand. Of pairs of similarity 0.4, as documents have that
-share a long passage, one in fifty is compared.
+number of minhashes grows with the square root of the number of tables. Both numbers follow from the
+threshold (``half_keys``), so that a pair at it is missed, as at most one half key agrees, less than once in
+``1 / MISSED``: at 0.85 there are 21 half keys of 5 minhashes (210 tables of 10), at 0.80 there are 23 of 4 (253 tables
+of 8). Of pairs of similarity 0.4, as documents have that share a long passage, one in fifty is compared at 0.85
+and one in nine at 0.80.
 
 Documents with the same shingles are one class, whatever their number, and only the class's least id
 takes part. A half key that one class alone has is dropped before pairs are formed. Within a
@@ -17,6 +18,7 @@ similarity (one in a million pairs that are alike). Every link is confirmed on t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,16 +32,45 @@ from lexiloom.session import materialize
 
 WORDS = 5
 PERCENT = 85
-HALVES, PER_HALF = 21, 5
+#: Share of pairs at the threshold that may be missed, chance aimed at that a half key of theirs agrees, most half keys.
+MISSED, AGREE, MOST = 1e-4, 0.42, 99
 BITS, DEVIATIONS = 1024, 5
 _RANDOM = np.random.default_rng(20240909)
-_FLIP = _RANDOM.integers(0, 2**63, HALVES * PER_HALF, dtype=np.uint64)
-_TIMES = _RANDOM.integers(0, 2**63, HALVES * PER_HALF, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _RANDOM.integers(0, 2**63, 105, dtype=np.uint64)
+_TIMES = _RANDOM.integers(0, 2**63, 105, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RANDOM.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BIT_FLIP = _RANDOM.integers(0, 2**32, BITS, dtype=np.uint32)
 _BIT_TIMES = _RANDOM.integers(0, 2**31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
+def missed(share: float, halves: int, per_half: int) -> float:
+    """How likely fewer than two half keys of a pair of that similarity agree."""
+    agree = share**per_half
+    return (1 - agree) ** halves + halves * agree * (1 - agree) ** (halves - 1)
+
+
+def half_keys(percent: int) -> tuple[int, int]:
+    """Half keys, and minhashes in each, for a threshold; alike sets need two of one."""
+    if percent >= 100:
+        return 2, 1
+    share = percent / 100
+    per_half = max(1, round(math.log(AGREE) / math.log(share)))
+    halves = 2
+    while missed(share, halves, per_half) >= MISSED:
+        halves += 1
+        if halves > MOST:
+            raise ValueError(f"too many half keys for {percent} percent")
+    return halves, per_half
+
+
+def _minhash_keys(k: int) -> tuple[np.uint64, np.uint64]:
+    """What minhash ``k`` flips and multiplies by."""
+    if k < len(_FLIP):
+        return _FLIP[k], _TIMES[k]
+    flip, times = mix(np.array([2 * k, 2 * k + 1], np.uint64) * _PLACE[12])
+    return flip, times | np.uint64(1)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text; a short text is one shingle, an empty one none."""
     data = TO_LOWER[data]
@@ -60,26 +91,27 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> l
     return out
 
 
-def _sign(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterable[pa.RecordBatch], words: int, n_halves: int, per_half: int) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in text_chunks(batches):
         sets = shingle_sets(data, offsets, words)
         sizes = np.array([len(x) for x in sets])
         flat = np.concatenate([*sets, np.zeros(1, np.uint64)])
         some = sizes > 0
         starts = (np.cumsum(sizes) - sizes)[some]
-        halves = np.zeros((len(sets), HALVES), np.uint64)
+        halves = np.zeros((len(sets), n_halves), np.uint64)
         sums = np.zeros((len(sets), 2), np.uint64)
         if some.any():
             flat = flat[:-1]
-            for half in range(HALVES):
+            for half in range(n_halves):
                 key = np.full(len(starts), half, np.uint64)
-                for k in range(half * PER_HALF, (half + 1) * PER_HALF):
-                    key = mix(key ^ np.minimum.reduceat((flat ^ _FLIP[k]) * _TIMES[k], starts))
+                for k in range(half * per_half, (half + 1) * per_half):
+                    flip, times = _minhash_keys(k)
+                    key = mix(key ^ np.minimum.reduceat((flat ^ flip) * times, starts))
                 halves[some, half] = key
             sums[some, 0] = np.add.reduceat(mix(flat + _PLACE[10]), starts)
             sums[some, 1] = np.add.reduceat(mix(flat + _PLACE[11]), starts)
         lists = pa.ListArray.from_arrays(
-            pa.array(np.arange(len(sets) + 1) * HALVES, pa.int32()), pa.array(halves.ravel().view(np.int64))
+            pa.array(np.arange(len(sets) + 1) * n_halves, pa.int32()), pa.array(halves.ravel().view(np.int64))
         )
         yield pa.RecordBatch.from_arrays(
             [
@@ -93,10 +125,11 @@ def _sign(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         )
 
 
-def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def signatures(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, set1, set2, halves``: size and fingerprint of the shingle set, half keys."""
     ddl = "doc_id long, n_shingles long, set1 long, set2 long, halves array<long>"
-    return texts_of(docs).mapInArrow(lambda it: _sign(it, words), ddl)
+    halves, per_half = half_keys(percent)
+    return texts_of(docs).mapInArrow(lambda it: _sign(it, words, halves, per_half), ddl)
 
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
@@ -182,7 +215,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     equal; of unlike texts each row stands for itself under that id. Empty tables give empty
     tables, and other columns do not matter.
     """
-    signed = materialize(signatures(docs, words), "signatures")
+    signed = materialize(signatures(docs, words, percent), "signatures")
     reps = materialize(
         signed.filter("n_shingles > 0")
         .groupBy("set1", "set2")

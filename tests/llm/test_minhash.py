@@ -88,3 +88,25 @@ def test_components(spark, rows):
     found = {r.node: r.comp for r in C.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(1, 61)}, 140: 100, 120: 100, 200: 199}
     assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("percent", [70, 80, 85, 95])
+def test_half_keys_reach_the_threshold(percent):
+    halves, per_half = M.half_keys(percent)
+    assert M.missed(percent / 100, halves, per_half) < 1e-4 <= M.missed(percent / 100, halves - 1, per_half)
+    assert M.half_keys(85) == (21, 5)
+
+
+def test_pipeline_links_at_80_percent(spark):
+    """Pairs from 0.80 to 0.85, which the stage must find and op9's threshold must not."""
+    import corpus_pipeline as P
+
+    random.seed(8)
+    docs = []
+    for i in range(150):
+        own = [f"w{random.randrange(10**6)}" for _ in range(104)]
+        docs += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[:86]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    low = {d for d, _, c in brute(docs, 80) if d == c}
+    assert len(low) == 150 and len({d for d, _, c in brute(docs, 85) if d == c}) == 300
+    assert {r.doc_id for r in P.near_duplicates(spark, frame, "").collect()} == low
