@@ -1,13 +1,14 @@
 """Perplexity under a modified Kneser-Ney model of byte n-grams, with bands per language.
 
-Tasks count the n-grams of their rows and Spark sums them; continuation counts, discounts and the
-interpolated probabilities of all orders are aggregations and joins of the count tables. N-grams are bytes
-because their number is bounded by the script, not by the vocabulary: over words it would
-grow with the corpus (nearly every second word pair here is new). The probabilities of the highest order
-go into arrays sorted by a hash, with an index by its first bits, and are looked up in numpy.
-
-The corpus is scored by the model counted from it, so each of its n-grams is there. A model larger
-than ``ENTRIES`` is taken in blocks, with one pass over the texts each; the sums of the blocks add up.
+Tasks count the n-grams of their rows and Spark sums them; continuation counts and discounts are aggregations of
+the count tables. N-grams are bytes because their number is bounded by the script, not by the vocabulary: over
+words it would grow with the corpus (nearly every second word pair here is new). The counts go to the tasks in
+sorted arrays, from which numpy interpolates the probabilities of all orders.
+
+``judge`` scores every text by the counts of all others: its own are taken off the highest order, and n-grams that
+nothing else has off the continuation counts below, so that unseen n-grams fall back to shorter contexts. Counts of
+single bytes and the discounts stay those of the corpus. A model larger than ``ENTRIES`` is taken in blocks of
+context bytes, with one pass over the texts each; the sums of the blocks add up, and one block at a time is held.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from lexiloom.session import materialize
 ORDER = 5
 ENTRIES = 8_000_000
 HELD = 2_000_000
-#: How many spreads from a language's median log perplexity are fine, below and above.
-BELOW, ABOVE = 8.0, 4.5
+#: How many spreads from a language's median log perplexity are fine, below and above: half a percent of the documents
+#: labelled good that pass the base rules (even ids of a sample; odd ids are for tests) lie outside on either side.
+BELOW, ABOVE = 2.8, 3.3
 #: The least spread, and the length at which the spread of short texts is twice as wide.
 SPREAD, SHORT = 0.02, 400
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -92,59 +94,95 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.1), k - 0.1) for k, d in enumerate(raw, 1)]
 
 
-def probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """``key, p`` for every n-gram of the highest order: interpolated modified Kneser-Ney."""
-    tables = {order: counts}
-    for k in range(order - 1, 0, -1):
-        # A lower order counts the distinct bytes that precede.
-        suffix = F.col("key").bitwiseAND(F.lit((1 << (8 * k)) - 1))
-        tables[k] = materialize(tables[k + 1].groupBy(suffix.alias("key")).agg(F.count("*").alias("c")), f"continuations-{k}")
-    lower = None
-    for k in range(1, order + 1):
-        own = tables[k].withColumn("context", F.shiftright("key", 8))
-        d1, d2, d3 = _discounts(tables[k])
-        cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        contexts = own.groupBy("context").agg(F.sum("c").alias("total"), F.sum(cut).alias("freed"))
-        joined = own.join(contexts, "context")
-        if lower is None:
-            rest: Column = F.lit(1 / 256)
-        else:
-            joined = joined.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)))
-            joined = joined.join(lower.select(F.col("key").alias("suffix"), F.col("p").alias("rest")), "suffix")
-            rest = F.col("rest")
-        p = (F.col("c") - cut + F.col("freed") * rest) / F.col("total")
-        lower = materialize(joined.select("key", p.alias("p")), f"probabilities-{k}")
-    return lower
-
-
-class HashArray:
-    """Numbers looked up by 64-bit keys, in arrays sorted by the keys' hash."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        hashes = mix(keys.astype(np.uint64))
-        order = np.argsort(hashes)
-        self.hashes, self.values = np.append(hashes[order], np.uint64(0)), np.append(values[order], 0).astype(np.float32)
-        self.bits = max(4, len(keys).bit_length() + 1)
-        first = (self.hashes[:-1] >> np.uint64(64 - self.bits)).astype(np.int64)
-        self.index = np.searchsorted(first, np.arange((1 << self.bits) + 1)).astype(np.int32)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values (0 if there is none) and whether there is one."""
-        hashes = mix(keys)
-        bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-        at, end = self.index[bucket].astype(np.int64), self.index[bucket + 1]
-        here = (self.hashes[at] == hashes) & (at < end)
-        out = np.where(here, self.values[at], np.float32(0))
-        rest = np.flatnonzero(~here & (at + 1 < end))
-        at = at[rest]
-        while len(rest):
-            at = at + 1
-            hit = self.hashes[at] == hashes[rest]
-            out[rest[hit]] = self.values[at[hit]]
-            here[rest[hit]] = True
-            go = ~hit & (at + 1 < end[rest])
-            rest, at = rest[go], at[go]
-        return out, here
+def lower_orders(counts: DataFrame, order: int = ORDER) -> tuple[np.ndarray, dict[int, list[float]]]:
+    """Probabilities of single bytes, and the discounts of every order from 2 on, by continuation counts."""
+    discounts, table = {}, counts
+    for k in range(order, 0, -1):
+        if k < order:
+            # A lower order counts the distinct bytes that precede.
+            suffix = F.col("key").bitwiseAND(F.lit((1 << (8 * k)) - 1))
+            table = materialize(table.groupBy(suffix.alias("key")).agg(F.count("*").alias("c")), f"continuations-{k}")
+        discounts[k] = _discounts(table)
+    singles = np.zeros(256)
+    found = np.array(table.collect(), np.int64).reshape(-1, 2)
+    if len(found):
+        cut = _cut(found[:, 1], discounts[1])
+        singles[found[:, 0]] = found[:, 1] - cut
+        singles = (singles + cut.sum() / 256) / found[:, 1].sum()
+    return singles, discounts
+
+
+def _blocks(ends: list[tuple[int, int]], entries: int) -> list[list[int]]:
+    """Context bytes, most n-grams first, in as few blocks of about ``entries`` n-grams as they fit in one by one."""
+    blocks: list[list] = []
+    for end, n in sorted(ends, key=lambda x: (-x[1], x[0])):
+        fit = next((b for b in blocks if b[0] + n <= entries), None)
+        if fit is None:
+            blocks.append(fit := [0, []])
+        fit[0] += n
+        fit[1].append(end)
+    return [b[1] for b in blocks]
+
+
+def _cut(counts: np.ndarray, discounts: list[float]) -> np.ndarray:
+    """What is taken off each count; nothing off 0."""
+    return np.array([0.0, *discounts])[np.minimum(counts, 3)]
+
+
+class Model:
+    """Interpolated modified Kneser-Ney of the n-grams of some context ends, in sorted arrays per order.
+
+    The lower orders follow from the highest: all n-grams that end in the same context byte are here. ``singles`` are
+    the probabilities of single bytes, ``discounts`` those of every order from 2 on.
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, singles: np.ndarray, discounts: dict[int, list[float]]):
+        self.order, self.singles, self.discounts, self.levels = order, singles, discounts, {}
+        at = np.argsort(keys)
+        keys, counts = keys[at].astype(np.uint64), counts[at].astype(np.int64)
+        for k in range(order, 1, -1):
+            contexts = keys >> np.uint64(8)
+            first = run_starts(contexts)
+            if len(first):
+                totals, freed = np.add.reduceat(counts, first), np.add.reduceat(_cut(counts, discounts[k]), first)
+            else:
+                totals, freed = counts, counts.astype(float)
+            self.levels[k] = keys, counts, contexts[first], totals, freed
+            keys, counts = np.unique(keys & self.mask(k - 1), return_counts=True)
+
+    @staticmethod
+    def mask(k: int) -> np.uint64:
+        return np.uint64((1 << (8 * k)) - 1)
+
+    def log_p(self, pairs: np.ndarray, own: np.ndarray, held_out: bool) -> np.ndarray:
+        """Logarithms of the probabilities of ``pairs``, sorted and distinct: row, then n-gram.
+
+        With ``held_out``, ``own`` of each n-gram's occurrences are the row's: they are taken off, and so are
+        n-grams that nothing else has from the continuation counts below, down to order 2.
+        """
+        full, steps = self.mask(self.order), []
+        own = own.astype(np.int64) if held_out else np.zeros(len(pairs), np.int64)
+        for k in range(self.order, 1, -1):
+            keys, counts, contexts, totals, freed = self.levels[k]
+            all_ = counts[np.searchsorted(keys, pairs & self.mask(k))]
+            left = all_ - own
+            context = pairs >> np.uint64(8)
+            first = run_starts(context)
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(pairs))))
+            at = np.searchsorted(contexts, context[first] & self.mask(k - 1))
+            kept = _cut(left, self.discounts[k])
+            total = totals[at] - np.add.reduceat(own, first)
+            free = freed[at] - np.add.reduceat(_cut(all_, self.discounts[k]) - kept, first)
+            lower, where = np.unique((pairs & ~full) | (pairs & self.mask(k - 1)), return_inverse=True)
+            steps.append((left - kept, total[group], np.maximum(free, 0)[group], where))
+            own = np.bincount(where, left == 0, len(lower)).astype(np.int64) if held_out else np.zeros(len(lower), np.int64)
+            pairs = lower
+        p = self.singles[(pairs & np.uint64(255)).astype(np.int64)]
+        for seen, total, free, where in reversed(steps):
+            rest = p[where]
+            # Where nothing is left of a context, the shorter one stands for it.
+            p = np.where(total > 0, (seen + free * rest) / np.maximum(total, 1), rest)
+        return np.log(p)
 
 
 def _row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -152,16 +190,24 @@ def _row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def _score(batches: Iterable[pa.RecordBatch], order: int, model) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterable[pa.RecordBatch], model, ends: np.ndarray, held_out: bool) -> Iterator[pa.RecordBatch]:
     table = model.value
+    order = table.order
     for rows, data, offsets in text_chunks(batches):
-        logs, known = table.find(ngram_keys(data, offsets, order))
+        keys = ngram_keys(data, offsets, order)
+        row = np.repeat(np.arange(rows.num_rows, dtype=np.uint64), np.diff(offsets))
+        pairs = (row << np.uint64(8 * order) | keys)[ends[(keys >> np.uint64(8) & np.uint64(255)).astype(np.int64)]]
+        pairs.sort()
+        first = run_starts(pairs)
+        own = np.diff(np.append(first, len(pairs)))
+        logs = table.log_p(pairs[first], own, held_out) if len(pairs) else np.zeros(0)
+        at = (pairs[first] >> np.uint64(8 * order)).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 rows.column("doc_id"),
                 rows.column("lang"),
-                pa.array(_row_sums(logs.astype(np.float64), offsets)),
-                pa.array(_row_sums(known, offsets), pa.int64()),
+                pa.array(np.bincount(at, logs * own, rows.num_rows)),
+                pa.array(np.bincount(at, own, rows.num_rows).astype(np.int64)),
             ],
             names=["doc_id", "lang", "log_p", "n_bytes"],
         )
@@ -175,20 +221,30 @@ def language_texts(docs: DataFrame) -> DataFrame:
     ).filter("doc_id IS NOT NULL")
 
 
-def perplexities(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> DataFrame:
-    """``doc_id, lang, n_bytes, log_perplexity`` of every document; without text null."""
+def perplexities(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES, held_out: bool = False) -> DataFrame:
+    """``doc_id, lang, n_bytes, log_perplexity`` of every document; without text null.
+
+    With ``held_out`` a row is scored by the counts of all others.
+    """
     texts = language_texts(docs)
-    model = materialize(probabilities(materialize(count_ngrams(texts, order), "ngrams"), order).withColumn("p", F.log("p")), "model")
-    blocks = max(1, -(-model.count() // entries))
-    parts = None
-    for block in range(blocks):
-        own = model.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).toArrow()
-        table = HashArray(own.column("key").to_numpy(), own.column("p").to_numpy())
-        shared = docs.sparkSession.sparkContext.broadcast(table)
+    counts = materialize(count_ngrams(texts, order), "ngrams")
+    singles, discounts = lower_orders(counts, order)
+    end = F.shiftright("key", 8).bitwiseAND(F.lit(255))
+    parts = texts.select("doc_id", "lang", F.lit(0.0).alias("log_p"), F.lit(0).cast("long").alias("n_bytes"))
+    context = docs.sparkSession.sparkContext
+    for block in _blocks([tuple(r) for r in counts.groupBy(end).count().collect()], entries):
+        own = counts.filter(end.isin(block)).toArrow()
+        keys, n = (own.column(x).to_numpy() for x in ("key", "c"))
+        shared = context.broadcast(Model(keys, n, order, singles, discounts))
+        here = np.zeros(256, bool)
+        here[block] = True
         part = texts.mapInArrow(
-            lambda it, shared=shared: _score(it, order, shared), "doc_id long, lang string, log_p double, n_bytes long"
+            lambda it, shared=shared, here=here: _score(it, shared, here, held_out),
+            "doc_id long, lang string, log_p double, n_bytes long",
         )
-        parts = part if parts is None else parts.unionByName(part)
+        # One block at a time: its model is let go before the next is read.
+        parts = parts.unionByName(materialize(part, "block-scores"))
+        shared.destroy()
     sums = parts.groupBy("doc_id", "lang").agg(F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"))
     return sums.select("doc_id", "lang", "n_bytes", F.when(F.col("n_bytes") > 0, -F.col("log_p") / F.col("n_bytes")).alias("log_perplexity"))
 
@@ -272,7 +328,7 @@ def judge(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> DataFr
     measured = texts.mapInArrow(
         _measure, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
     )
-    scored = materialize(perplexities(docs, order, entries), "perplexities")
+    scored = materialize(perplexities(docs, order, entries, held_out=True), "perplexities")
     rated = scored.join(bands(scored.filter("log_perplexity IS NOT NULL")), "lang", "left")
     width = F.col("spread") * _width(F.col("n_bytes"))
     rated = rated.select(

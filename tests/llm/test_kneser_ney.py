@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexiloom.llm import kneser_ney as K
 
@@ -87,3 +88,47 @@ def test_edges(spark):
     out = K.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
     assert sorted(r.doc_id for r in out) == [1, 2, 2, 3]
     assert not [r for r in out if r.doc_id == 3][0].kept
+
+
+def held_out(texts, d, order):
+    """By the book with the counts of all texts but one; discounts and single bytes are those of all."""
+    grams = [Counter(raw[i : i + order] for i in range(len(raw) - order + 1)) for raw in (b"\0" * (order - 1) + t.encode() for t in texts)]
+    every = sum(grams, Counter())
+    others, cuts, single = {order: every - grams[d]}, {}, None
+    for k in range(order, 0, -1):
+        n = Counter(every.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        raw = [1 - 2 * y * n[2] / n[1] if n[1] else 0.5, 2 - 3 * y * n[3] / n[2] if n[2] else 1.0, 3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
+        cuts[k] = [0, *(min(max(x, 0.1), j - 0.1) for j, x in enumerate(raw, 1))]
+        single = every
+        every = Counter(g[1:] for g in every)
+        others[k - 1] = Counter(g[1:] for g in others[k])
+
+    def p(g):
+        k, own = len(g), single if len(g) == 1 else others[len(g)]
+        if not k:
+            return 1 / 256
+        after = [c for x, c in own.items() if x[:-1] == g[:-1]]
+        if not after:
+            return p(g[1:])
+        return (own[g] - cuts[k][min(own[g], 3)] + sum(cuts[k][min(c, 3)] for c in after) * p(g[1:])) / sum(after)
+
+    return sum(c * math.log(p(g)) for g, c in grams[d].items())
+
+
+@pytest.mark.parametrize("entries", [10**6, 50])
+def test_a_text_is_scored_by_the_others(spark, docs, entries):
+    texts = [t or "" for _, t in docs]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    scored = {r.doc_id: r for r in K.perplexities(frame, order=4, entries=entries, held_out=True).collect()}
+    for d in (4, 5, 9, 20, 33):
+        assert math.isclose(scored[d].log_perplexity, -held_out(texts, d, 4) / scored[d].n_bytes, rel_tol=1e-6)
+
+
+def test_junk_is_rejected_and_good_kept(spark):
+    """Labelled documents that pass the base rules; those of even id set the bands."""
+    sf = "/root/testdata/sf0.1"
+    judged = K.judge(spark.read.parquet(f"{sf}/documents.parquet")).filter("NOT base_failed AND doc_id % 2 = 1")
+    rated = judged.join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id")
+    kept = {r.quality: r.share for r in rated.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[1] >= 0.98 and kept[0] <= 0.55
