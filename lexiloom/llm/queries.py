@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, decontaminate, kneser_ney, licenses, line_dedup, maxent, minhash, quotes, suffix_dedup, weak_labels
+from lexiloom.llm import (
+    bpe,
+    decontaminate,
+    kneser_ney,
+    licenses,
+    line_dedup,
+    maxent,
+    minhash,
+    quotes,
+    suffix_dedup,
+    token_counts,
+    weak_labels,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +74,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(docs, line_dedup.keep_bitmaps(docs, min_chars=40, min_docs=5))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), limit=512)
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_perplexity": op2_perplexity,
@@ -73,6 +89,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
+    "op13_token_counts": op13_token_counts,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
