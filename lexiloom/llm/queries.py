@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexiloom.llm import (
     bpe,
     decontaminate,
+    hard_negatives,
     kneser_ney,
     licenses,
     line_dedup,
@@ -74,6 +75,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(docs, line_dedup.keep_bitmaps(docs, min_chars=40, min_docs=5))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), limit=512)
 
@@ -89,6 +96,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -181,6 +189,23 @@ FROM owned o LEFT JOIN parent p ON p.conv_id = o.conv_id AND p.turn = o.turn
 LEFT JOIN top t ON t.conv_id = o.conv_id AND t.turn = o.turn LEFT JOIN counted c ON c.conv_id = o.conv_id AND c.turn = o.turn"""
 
 
+#: Every anchor against every row; sums of integers are exact in doubles here.
+NEGATIVES_SQL = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5"""
+
+
 ORACLES = {
     "op4_quotes": QUOTES_SQL,
     "op8_licenses": license_sql(),
@@ -190,4 +215,5 @@ SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op12_hard_negatives": NEGATIVES_SQL,
 }
