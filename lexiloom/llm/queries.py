@@ -14,6 +14,7 @@ from lexiloom.llm import (
     line_dedup,
     maxent,
     minhash,
+    phrases,
     quotes,
     suffix_dedup,
     token_counts,
@@ -75,6 +76,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(docs, line_dedup.keep_bitmaps(docs, min_chars=40, min_docs=5))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), min_count=10, top=2000, absorb_percent=50)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -96,6 +101,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
+    "op11_phrases": op11_phrases,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }
@@ -189,6 +195,28 @@ FROM owned o LEFT JOIN parent p ON p.conv_id = o.conv_id AND p.turn = o.turn
 LEFT JOIN top t ON t.conv_id = o.conv_id AND t.turn = o.turn LEFT JOIN counted c ON c.conv_id = o.conv_id AND c.turn = o.turn"""
 
 
+#: All phrases of up to three words, counted; phrases are lists of words.
+PHRASES_SQL = f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+f AS (SELECT lang, p, count(*) AS a FROM (
+        SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i:i])) AS p FROM lists UNION ALL
+        SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) AS p FROM lists UNION ALL
+        SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS p FROM lists) GROUP BY lang, p),
+sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE len(p) > 1 AND a >= 10),
+held AS (SELECT lang, p, max(a) AS longer FROM (
+           SELECT lang, p[1:2] AS p, a FROM c WHERE len(p) = 3 UNION ALL SELECT lang, p[2:3], a FROM c WHERE len(p) = 3) GROUP BY lang, p),
+free AS (SELECT c.* FROM c LEFT JOIN held ON c.lang = held.lang AND c.p = held.p WHERE longer IS NULL OR len(c.p) = 3 OR 100 * longer < 50 * c.a),
+cuts AS (SELECT free.lang, free.p, free.a, k, l.a AS l, r.a AS r, (1000000 * free.a::HUGEINT * free.a) // (l.a::HUGEINT * r.a) AS score
+         FROM (SELECT *, unnest(range(1, len(p))) AS k FROM free) free
+         JOIN f l ON l.lang = free.lang AND l.p = free.p[1:k] JOIN f r ON r.lang = free.lang AND r.p = free.p[k + 1:]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+named AS (SELECT *, array_to_string(p, ' ') AS phrase FROM lowest)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM named JOIN sizes USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER w <= 2000"""
+
 #: Every anchor against every row; sums of integers are exact in doubles here.
 NEGATIVES_SQL = """WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -215,5 +243,6 @@ SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op11_phrases": PHRASES_SQL,
     "op12_hard_negatives": NEGATIVES_SQL,
 }
