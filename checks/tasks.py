@@ -20,19 +20,23 @@ from lexiloom.operators.tasks import (
     app_progress,
     dedupe_results,
     parse_tasks,
+    requested_pages,
     resolve_documents,
     task_summary,
 )
 from lexiloom.plans.text_analysis import annotated_lines, run_tasks
 from lexiloom.session import materialize, spread, work_path
 from lexiloom.sources.manifests import read_manifest, write_annotations
+from lexiloom.sources.pages import write_pages
 from lexiloom.streaming.tasks import (
     app_states,
     latest_progress,
     read_results,
+    read_tasks,
     start_progress,
     start_results,
-    stream_tasks,
+    start_tasks,
+    stream_lines,
 )
 
 # --- annotators: stand-ins that plain SQL can repeat ----------------------------------------
@@ -237,29 +241,42 @@ def annotation_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_tasks_query(spark: SparkSession, sf: str) -> DataFrame:
-    stream = stream_tasks(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
-    out = work_path(spark, "stream-tasks")
-    query = (
-        stream.drop("arrived")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", work_path(spark, "stream-state"))
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    query.awaitTermination()
-    return spark.read.parquet(out)
+    stream = stream_lines(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
+    out, state = work_path(spark, "stream-tasks"), work_path(spark, "stream-state")
+    start_tasks(stream, out, state).awaitTermination()
+    return read_tasks(spark, out).drop("arrived")
 
 
 def stream_results_query(spark: SparkSession, sf: str) -> DataFrame:
-    stream = stream_tasks(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
+    stream = stream_lines(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
     out = work_path(spark, "stream-results")
     state = work_path(spark, "stream-state")
     start_results(stream, documents(spark, sf), ANNOTATORS, out, state).awaitTermination()
     return read_results(spark, out).withColumn("output", F.md5("output"))
 
 
+def stream_results_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream over pages laid out by URL."""
+    stream = stream_lines(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
+    out, state = work_path(spark, "stream-results"), work_path(spark, "stream-state")
+    store = write_pages(documents(spark, sf), work_path(spark, "page-store"))
+    start_results(stream, store, ANNOTATORS, out, state).awaitTermination()
+    return read_results(spark, out).withColumn("output", F.md5("output"))
+
+
+def requested_pages_by_place(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts of the pages that tasks ask for, fetched by file and row; every tenth page comes a second time, longer."""
+    docs = c.table(spark, sf, "documents").select(F.concat(F.lit("doc://"), "doc_id").alias("url"), "text", "doc_id")
+    path = work_path(spark, "pages")
+    again = docs.filter("doc_id % 10 = 0").withColumn("text", F.concat("text", F.lit(" More of it.")))
+    docs.unionByName(again).drop("doc_id").write.parquet(path)
+    wanted = tasks(spark, sf).filter("line_no % 3 = 1")
+    found = requested_pages(wanted, spark.read.parquet(path), max_rows=200)
+    return found.select("url", F.md5("text").alias("text"))
+
+
 def _stream_progress(spark: SparkSession, sf: str, mode: str) -> DataFrame:
-    stream = stream_tasks(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
+    stream = stream_lines(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
     out = work_path(spark, "stream-progress")
     state = work_path(spark, "stream-state")
     start_progress(stream, out, state, mode).awaitTermination()
@@ -285,14 +302,14 @@ def stream_redelivery(spark: SparkSession, sf: str) -> DataFrame:
             found = system.listFiles(root, True)
             while found.hasNext():
                 system.setTimes(found.next().getPath(), 86_400_000, -1)
-        stream = stream_tasks(spark, inbox, folder("source"), files_per_trigger=8)
+        stream = stream_lines(spark, inbox, folder("source"), files_per_trigger=8)
         start_results(stream, documents(spark, sf), ANNOTATORS, out, state).awaitTermination()
     return read_results(spark, out).withColumn("output", F.md5("output"))
 
 
 def stream_completion(spark: SparkSession, sf: str) -> DataFrame:
     """States of the apps after a stream has run."""
-    stream = stream_tasks(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
+    stream = stream_lines(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
     out, state = work_path(spark, "stream-results"), work_path(spark, "stream-state")
     start_results(stream, documents(spark, sf), ANNOTATORS, out, state).awaitTermination()
     return app_states(spark, out)
@@ -362,6 +379,8 @@ QUERIES = {
     "annotation_sink": annotation_sink,
     "stream_tasks": stream_tasks_query,
     "stream_results": stream_results_query,
+    "stream_results_store": stream_results_store,
+    "requested_pages_by_place": requested_pages_by_place,
     "stream_progress": lambda spark, sf: _stream_progress(spark, sf, "update"),
     "stream_progress_complete": lambda spark, sf: _stream_progress(spark, sf, "complete"),
 }
@@ -502,6 +521,10 @@ ORACLES = {
         FROM per_analysis WHERE line IS NOT NULL GROUP BY ALL""",
     "stream_tasks": f"{STREAMED} SELECT * FROM tasks",
     "stream_results": f"{STREAMED_RESULTS} {HASHED}",
+    "stream_results_store": f"{STREAMED_RESULTS} {HASHED}",
+    "requested_pages_by_place": f"""{TASKS}
+        SELECT DISTINCT url, md5(text) AS text FROM tasks JOIN documents ON url = 'doc://' || doc_id
+        WHERE error IS NULL AND line_no % 3 = 1""",
     "stream_progress": f"{STREAMED} SELECT app_id, count(*) AS n_tasks FROM tasks GROUP BY ALL",
     "stream_progress_complete": f"""{STREAMED}
         SELECT app_id, count(*) AS n_tasks FROM tasks GROUP BY ALL""",

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.text import strip_control
 from lexiloom.operators.annotate import ANALYSES
-from lexiloom.operators.joins import fits_broadcast
+from lexiloom.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
+from lexiloom.session import materialize, work_path
 
 TASK = ["app_id", "line_no"]
 
@@ -35,18 +38,76 @@ def parse_tasks(lines: DataFrame) -> DataFrame:
     return rows.select(*TASK, "analysis", "url", error.alias("error"), *rest)
 
 
-def requested_pages(tasks: DataFrame, pages: DataFrame) -> DataFrame:
+def requested_pages(
+    tasks: DataFrame,
+    pages: DataFrame,
+    work_dir: str | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """``url, text`` of the pages that valid tasks ask for, one row per URL.
 
-    Pages are cut to the wanted URLs before anything is shuffled if a count shows that the
-    URLs fit a broadcast; beyond that, both sides are shuffled by URL. Of several pages
+    Pages are cut to the wanted URLs before any text is shuffled: by a broadcast if a count shows that the
+    URLs fit one, else by their places in the files (``late_pages``). Of several pages
     with one URL the least text counts; a page without text is no document.
     """
     wanted = tasks.filter(F.col("error").isNull()).select("url").distinct()
-    if fits_broadcast(wanted):
-        wanted = F.broadcast(wanted)
-    found = pages.select("url", "text").filter("text IS NOT NULL").join(wanted, "url", "left_semi")
-    return found.groupBy("url").agg(F.min("text").alias("text"))
+    if fits_broadcast(wanted, max_rows):
+        found = pages.select("url", "text").join(F.broadcast(wanted), "url", "left_semi")
+    elif "_metadata" in hidden_columns(pages):
+        return late_pages(wanted, pages, work_dir, max_rows)
+    else:
+        found = pages.select("url", "text").join(wanted, "url", "left_semi")
+    return found.filter("text IS NOT NULL").groupBy("url").agg(F.min("text").alias("text"))
+
+
+def hidden_columns(df: DataFrame) -> list[str]:
+    """Names of the metadata columns of a table that is read from files (also below projections and filters)."""
+    found = df._jdf.queryExecution().analyzed().metadataOutput()
+    return [found.apply(i).name() for i in range(found.size())]
+
+
+def late_pages(wanted: DataFrame, pages: DataFrame, work_dir: str | None, max_rows: int) -> DataFrame:
+    """``url, text`` of ``pages``, a table read from files, whose ``url`` is ``wanted``: places first, texts last.
+
+    Only URLs and places (file and row) are shuffled to find the wanted rows. Their places are then
+    counted by file, and blocks of files with at most ``max_rows`` of them are fetched one after another by a broadcast join, so
+    every block reads its own files only and no text moves. Only texts of URLs that occur more than once are compared, by URL.
+    """
+    spark = pages.sparkSession
+    places = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    found = pages.select("url", *places).join(wanted, "url", "left_semi")
+    found = materialize(found, "wanted-places", work_dir)
+    # Their own scan, so that rows of a URL with very many pages can be split.
+    repeated = found.groupBy("url").count().filter("count > 1").select("url", F.lit(True).alias("repeated"))
+    found = materialize(found.join(repeated, "url", "left").withColumn("key", F.xxhash64("url")), "marked-places", work_dir)
+    out = work_path(spark, "wanted-pages", work_dir)
+    sizes = sorted(tuple(r) for r in found.groupBy("file").count().collect())
+    for block, (files, parts, part) in enumerate(file_blocks(sizes, max_rows)):
+        own = found.filter(F.col("file").isin(files) & (F.pmod("row", F.lit(parts)) == part))
+        scan = pages.select("url", "text", *places).filter(F.col("file").isin(files)).withColumn("key", F.xxhash64("url"))
+        rows = scan.join(F.broadcast(own.select("file", "row", "key", "repeated").distinct()), ["file", "row", "key"])
+        rows.select("url", "text", "repeated").filter("text IS NOT NULL").write.parquet(f"{out}/block={block}")
+    schema = "url string, text string, repeated boolean, block int"
+    fetched = spark.read.schema(schema).parquet(out) if sizes else spark.createDataFrame([], schema)
+    single = fetched.filter("repeated IS NULL").select("url", "text")
+    several = fetched.filter("repeated").groupBy("url").agg(F.min("text").alias("text"))
+    return single.unionByName(several)
+
+
+def file_blocks(sizes: list[tuple[str, int]], max_rows: int) -> Iterator[tuple[list[str], int, int]]:
+    """Files, parts and number of the part: runs of files with at most ``max_rows``; a larger file in parts by row."""
+    files, total = [], 0
+    for file, n in sizes:
+        parts = -(-n // max_rows)
+        if files and total + n > max_rows:
+            yield files, 1, 0
+            files, total = [], 0
+        if parts > 1:
+            yield from (([file], parts, part) for part in range(parts))
+        else:
+            files, total = [*files, file], total + n
+    if files:
+        yield files, 1, 0
 
 
 def resolve_documents(tasks: DataFrame, pages: DataFrame) -> DataFrame:

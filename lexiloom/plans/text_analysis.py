@@ -17,6 +17,7 @@ from lexiloom.operators.tasks import (
 )
 from lexiloom.session import materialize
 from lexiloom.sources.manifests import read_manifest
+from lexiloom.sources.pages import PageStore
 
 
 def annotated_lines(
@@ -36,7 +37,7 @@ def annotated_lines(
 
 def run_tasks(
     tasks: DataFrame,
-    pages: DataFrame,
+    pages: DataFrame | PageStore,
     annotators: Mapping[str, AnnotatorFactory],
     partitions: int | None = None,
     work_dir: str | None = None,
@@ -45,9 +46,12 @@ def run_tasks(
 
     A document is annotated once per analysis even if a third of all tasks ask for it;
     its output is written, and then joined to those tasks. ``pages`` is read once, cut to
-    what the tasks ask for and written; URLs may repeat.
+    what the tasks ask for and written; URLs may repeat. Of a ``PageStore`` only the
+    folders of the tasks' URLs are read.
     """
-    pages = materialize(requested_pages(tasks, pages), "requested-pages", work_dir)
+    if isinstance(pages, PageStore):
+        pages = pages.holding(tasks.filter("error IS NULL").select("url"))
+    pages = materialize(requested_pages(tasks, pages, work_dir), "requested-pages", work_dir)
     lines = annotated_lines(tasks, pages, annotators, partitions)
     outputs = materialize(document_lines(lines, ["analysis", "url"]), "outputs", work_dir)
     return task_results(tasks, pages, outputs)
@@ -56,7 +60,7 @@ def run_tasks(
 def text_analysis_job(
     spark: SparkSession,
     manifests: str | list[str],
-    pages: DataFrame,
+    pages: DataFrame | PageStore,
     annotators: Mapping[str, AnnotatorFactory],
     out: str,
     partitions: int | None = None,

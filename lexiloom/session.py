@@ -45,8 +45,43 @@ def work_path(
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a job has written ``path`` to the end."""
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    marker, files = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return [entry.getPath().getName() for entry in files.listStatus(place) if entry.isDirectory()]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The one line of a small file, or nothing where there is none."""
+    place, files = _file_system(spark, path)
+    return spark.read.text(path).first()[0] if files.exists(place) else None
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears with its whole content or not at all; an existing one is an error."""
+    place, files = _file_system(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
+    out = files.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not files.rename(draft, place):
+        raise FileExistsError(path)
 
 
 def claim_run(spark: SparkSession, label: str, facts: object, root: str | None, run_id: str) -> None:

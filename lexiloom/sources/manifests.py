@@ -9,44 +9,44 @@ from pyspark.sql.window import Window
 from lexiloom.session import materialize
 
 
-def number_lines(
-    spark: SparkSession,
-    paths: str | list[str],
-    app_id: Column | None = None,
-    work_dir: str | None = None,
-) -> DataFrame:
-    """``app_id, line_no, value`` with lines counted from 0 inside every app.
+def placed_lines(lines: DataFrame, app_id: Column | None = None) -> DataFrame:
+    """``app_id, file, block, arrived, value`` of lines that are read from text files, in batch or as a stream.
 
-    An app is a file, or whatever ``app_id`` (an expression over ``file``) makes of the
-    path; an app of several files counts through them in name order. Large files are
-    read in many splits: the lines are written once with their split and their place in
-    it, the splits are counted, and a line's number is the lines of all earlier splits
-    plus its place. Only the split counts are ordered, never the lines.
+    ``block`` is where the split begins that a line was read in.
     """
-    placed = spark.read.text(paths).select(
+    placed = lines.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"),
+        F.col("_metadata.file_modification_time").alias("arrived"),
     )
     app = F.col("file") if app_id is None else app_id
-    stored = materialize(placed.select(app.alias("app_id"), "*"), "lines", work_dir)
+    return placed.select(app.alias("app_id"), "file", "block", "arrived", "value")
+
+
+def number_lines(placed: DataFrame, unit: str = "app_id", work_dir: str | None = None) -> DataFrame:
+    """Add ``line_no`` to ``placed`` lines, counted from 0 inside every ``unit`` (the app, or the file).
+
+    An app of several files counts through them in name order. Large files are
+    read in many splits: the lines are written once with their split and their place in
+    it, the splits are counted, and a line's number is the lines of all earlier splits
+    plus its place. Only the split counts are ordered, never the lines.
+    """
+    stored = materialize(placed.withColumn("seq", F.monotonically_increasing_id()), "lines", work_dir)
     earlier = (
-        Window.partitionBy("app_id")
+        Window.partitionBy(unit)
         .orderBy("file", "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     splits = (
-        stored.groupBy("app_id", "file", "block")
+        stored.groupBy(*{unit: 0, "file": 0}, "block")
         .agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
         .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .select("file", "block", "first", "before")
     )
-    splits = materialize(splits, "splits", work_dir)
     line_no = (F.col("before") + F.col("seq") - F.col("first")).cast("long")
-    return stored.join(splits, ["file", "block"]).select(
-        "app_id", line_no.alias("line_no"), "value"
-    )
+    rows = stored.join(materialize(splits, "splits", work_dir), ["file", "block"])
+    return rows.withColumn("line_no", line_no).drop("block", "seq", "first", "before")
 
 
 def read_manifest(
@@ -56,7 +56,8 @@ def read_manifest(
     work_dir: str | None = None,
 ) -> DataFrame:
     """Numbered manifest lines; one file is one app unless ``app_id`` says otherwise."""
-    return number_lines(spark, paths, app_id, work_dir)
+    numbered = number_lines(placed_lines(spark.read.text(paths), app_id), "app_id", work_dir)
+    return numbered.select("app_id", "line_no", "value")
 
 
 def write_annotations(

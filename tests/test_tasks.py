@@ -13,7 +13,7 @@ from lexiloom.operators.sentences import (
 from lexiloom.operators.tasks import app_progress, dedupe_results, parse_tasks, task_summary
 from lexiloom.plans.text_analysis import run_tasks, text_analysis_job
 from lexiloom.sources.manifests import read_manifest, write_annotations
-from lexiloom.streaming.tasks import read_results, start_results, stream_tasks
+from lexiloom.streaming.tasks import read_results, start_results, stream_lines
 
 MANIFEST = [
     "POS\tdoc://1",
@@ -177,7 +177,7 @@ def test_stream_equals_batch_and_goes_on_after_a_stop(spark, manifest, pages, tm
 
     def run():
         start_results(
-            stream_tasks(spark, manifest, app()), pages, ANNOTATORS, out, state, str(tmp_path)
+            stream_lines(spark, manifest, app()), pages, ANNOTATORS, out, state, str(tmp_path)
         ).awaitTermination()
 
     run()
