@@ -24,8 +24,10 @@ def placed_lines(lines: DataFrame, app_id: Column | None = None) -> DataFrame:
     return placed.select(app.alias("app_id"), "file", "block", "arrived", "value")
 
 
-def number_lines(placed: DataFrame, unit: str = "app_id", work_dir: str | None = None) -> DataFrame:
-    """Add ``line_no`` to ``placed`` lines, counted from 0 inside every ``unit`` (the app, or the file).
+def number_lines(
+    placed: DataFrame, unit: str = "app_id", work_dir: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``placed`` lines with ``line_no``, counted from 0 inside every ``unit`` (the app, or the file), and their splits.
 
     An app of several files counts through them in name order. Large files are
     read in many splits: the lines are written once with their split and their place in
@@ -38,15 +40,12 @@ def number_lines(placed: DataFrame, unit: str = "app_id", work_dir: str | None =
         .orderBy("file", "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    splits = (
-        stored.groupBy(*{unit: 0, "file": 0}, "block")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
-        .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .select("file", "block", "first", "before")
-    )
+    counts = stored.groupBy("app_id", "file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
+    splits = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    splits = materialize(splits, "splits", work_dir)
     line_no = (F.col("before") + F.col("seq") - F.col("first")).cast("long")
-    rows = stored.join(materialize(splits, "splits", work_dir), ["file", "block"])
-    return rows.withColumn("line_no", line_no).drop("block", "seq", "first", "before")
+    rows = stored.join(splits.drop("app_id", "n"), ["file", "block"]).withColumn("line_no", line_no)
+    return rows.drop("block", "seq", "first", "before"), splits
 
 
 def read_manifest(
@@ -56,7 +55,7 @@ def read_manifest(
     work_dir: str | None = None,
 ) -> DataFrame:
     """Numbered manifest lines; one file is one app unless ``app_id`` says otherwise."""
-    numbered = number_lines(placed_lines(spark.read.text(paths), app_id), "app_id", work_dir)
+    numbered, _ = number_lines(placed_lines(spark.read.text(paths), app_id), "app_id", work_dir)
     return numbered.select("app_id", "line_no", "value")
 
 

@@ -56,9 +56,8 @@ def batch_tasks(lines: DataFrame, work_dir: str | None = None) -> DataFrame:
     Lines are numbered from 0 in every file. If files of one app bring the same line number, the one that arrived
     first counts, of equals the first by name.
     """
-    numbered = number_lines(lines, "file", work_dir)
-    shared = numbered.select("app_id", "file").distinct().groupBy("app_id").count().filter("count > 1")
-    if not shared.isEmpty():
+    numbered, splits = number_lines(lines, "file", work_dir)
+    if not splits.groupBy("app_id").agg(F.count_distinct("file").alias("n")).filter("n > 1").isEmpty():
         order = Window.partitionBy(*TASK).orderBy("arrived", "file")
         numbered = numbered.withColumn("turn", F.row_number().over(order)).filter("turn = 1").drop("turn")
     return parse_tasks(numbered.drop("file")).select(*TASK, "analysis", "url", "error", "arrived")
