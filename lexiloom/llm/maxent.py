@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import TO_LOWER, mix, span_hashes, text_chunks, texts_of, word_bounds
 from lexiloom.session import materialize
 
-BATCH = 1 << 25
+#: Bytes of text in a batch; a task needs some twenty times as much.
+BATCH = 1 << 22
 TOP, SUFFIXES = 15, 15
 END_CLASS, UNKNOWN_CLASS, CLASSES = TOP, TOP + 1 + SUFFIXES, TOP + SUFFIXES + 2
 BITS = 15
