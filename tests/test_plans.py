@@ -4,6 +4,7 @@ import pytest
 from checks import corpus, paths, tasks
 
 from lexiloom.operators.collocations import join_counts
+from lexiloom.operators.topk import top_k
 from lexiloom.plans.collocations import collocations
 from lexiloom.session import spread, work_path
 
@@ -121,3 +122,19 @@ def test_spread_leaves_large_scans_alone(spark):
     few, many = spark.range(10, numPartitions=1), spark.range(10, numPartitions=9)
     assert spread(few).rdd.getNumPartitions() == 4
     assert spread(many) is many
+
+
+def test_a_ranking_has_a_bounded_last_step(spark):
+    """Rows are limited before each of two shuffles; the last one gets k rows a part at most."""
+    scored = spark.range(4000).repartition(40).selectExpr("CAST(id % 2 AS STRING) AS decade", "CAST(id AS STRING) AS w1", "'x' AS w2", "CAST(id % 97 AS DOUBLE) AS llr")
+    best = top_k(scored, 5, "llr", ["decade"], ["w1", "w2"], parts=4)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = top_k(scored, 5, "llr", ["decade"], ["w1", "w2"], parts=4)
+        found = [tuple(r) for r in rows.orderBy("decade", "rank").select("w1", "rank").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    expected = [sorted(str(i) for i in range(d, 4000, 2) if i % 97 == 96)[:5] for d in (0, 1)]
+    assert found == [(w, k) for own in expected for k, w in enumerate(own, 1)]
