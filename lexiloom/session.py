@@ -84,6 +84,35 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
+def input_files(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, int, int]]:
+    """Address, length and time of change of the files below the paths (files, folders, patterns), without hidden ones."""
+    found = []
+
+    def walk(files, status) -> None:
+        name = status.getPath().getName()
+        if name[0] in "._":
+            return
+        if status.isFile():
+            found.append((status.getPath().toUri().toString(), status.getLen(), status.getModificationTime()))
+        else:
+            for inner in files.listStatus(status.getPath()):
+                walk(files, inner)
+
+    for text in [paths] if isinstance(paths, str) else paths:
+        place, files = _file_system(spark, text)
+        matches = files.globStatus(place)
+        if not matches:
+            raise FileNotFoundError(text)
+        for match in matches:
+            walk(files, match)
+    return sorted(found)
+
+
+def digest_of(*parts: object) -> str:
+    """A short name for what a stage is made of: the digests of its inputs, and its parameters."""
+    return hashlib.sha256(repr(parts).encode()).hexdigest()[:16]
+
+
 def claim_run(spark: SparkSession, label: str, facts: object, root: str | None, run_id: str) -> None:
     """Tie a run to what it computes: a repeat with other ``facts`` is an error.
 
@@ -102,7 +131,11 @@ def claim_run(spark: SparkSession, label: str, facts: object, root: str | None,
 
 
 def materialize(
-    df: DataFrame, label: str, root: str | None = None, run_id: str | None = None
+    df: DataFrame,
+    label: str,
+    root: str | None = None,
+    run_id: str | None = None,
+    digest: str | None = None,
 ) -> DataFrame:
     """Write ``df`` as Parquet and return the table read back.
 
@@ -113,10 +146,11 @@ def materialize(
 
     With a ``run_id`` the stage has a fixed place in that run. A stage the run has
     already completed is read and not computed again, so a failed run goes on where it
-    stopped.
+    stopped. Give the ``digest`` of what the stage is made of, and it is computed anew
+    when that has changed.
     """
     spark = df.sparkSession
-    path = work_path(spark, label, root, run_id)
+    path = work_path(spark, label if digest is None else f"{label}-{digest}", root, run_id)
     if run_id is None or not is_complete(spark, path):
         df.write.mode("errorifexists" if run_id is None else "overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
