@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import common as c
-from lexiloom.operators.annotate import annotate
+from lexiloom.operators.annotate import Batched, annotate
 from lexiloom.operators.sentences import (
     annotation_lines,
     constituency_lines,
@@ -359,11 +359,44 @@ def annotation_faults(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _faulty_batches(factory):
+    """The same annotator for batches; one sentence that it cannot take fails the whole batch."""
+
+    def build():
+        one = factory()
+
+        def run(sentences: list[str]):
+            found = [one(sentence) for sentence in sentences]
+            if None in found:
+                raise ValueError("a sentence in this batch")
+            return found
+
+        return run
+
+    return build
+
+
+def annotation_faults_batched(spark: SparkSession, sf: str) -> DataFrame:
+    """The same faults by annotators that take batches: no sentence suffers from another one."""
+    found = sentences(documents(spark, sf))
+    analyses = F.explode(F.array(*map(F.lit, ("POS", "DEPENDENCY", "CONSTITUENCY"))))
+    faulty = {
+        "POS": Batched(_faulty_batches(_faulty_pos), 16),
+        "DEPENDENCY": Batched(_faulty_factory),
+        "CONSTITUENCY": Batched(_faulty_batches(lambda: lambda s: [s, 7])),
+    }
+    rows = annotation_lines(annotate(found.withColumn("analysis", analyses), faulty))
+    return rows.select(
+        "url", "sent_no", "analysis", "part_no", "line", F.col("error").isNotNull().alias("failed")
+    )
+
+
 QUERIES = {
     "stream_redelivery": stream_redelivery,
     "stream_completion": stream_completion,
     "task_results_repeated_pages": task_results_repeated_pages,
     "annotation_faults": annotation_faults,
+    "annotation_faults_batched": annotation_faults_batched,
     "manifest_parse": manifest_parse,
     "task_validation": task_validation,
     "task_resolve": task_resolve,
@@ -476,18 +509,21 @@ def _sql_tagged(words: str, tag: str) -> str:
     return f"coalesce(list_aggregate(list_transform({words}, lambda x: x || '/{tag} '), 'string_agg', ''), '')"
 
 
+SQL_FAULT_ROWS = f"""WITH {SQL_SENTENCES}, {SQL_FAULTS}
+        SELECT url, sent_no, 'POS' AS analysis, 0 AS part_no,
+               CASE WHEN fine THEN {_sql_tagged('w[1:half]', 'A')} END AS line, NOT fine AS failed FROM pos
+        UNION ALL SELECT url, sent_no, 'POS', 1, {_sql_tagged('w[half + 1:]', 'B')}, false FROM pos WHERE fine
+        UNION ALL SELECT url, sent_no, 'DEPENDENCY', 0, NULL, true FROM pos
+        UNION ALL SELECT url, sent_no, 'CONSTITUENCY', 0, NULL, true FROM pos"""
+
 ORACLES = {
     "stream_redelivery": f"{STREAMED_RESULTS} {HASHED}",
     "stream_completion": f"""{STREAMED}
         SELECT app_id, count(*) AS submitted, count(*) AS finished, CAST(0 AS BIGINT) AS outstanding,
                true AS done FROM tasks GROUP BY ALL""",
     "task_results_repeated_pages": f"{RESULTS} {HASHED}",
-    "annotation_faults": f"""WITH {SQL_SENTENCES}, {SQL_FAULTS}
-        SELECT url, sent_no, 'POS' AS analysis, 0 AS part_no,
-               CASE WHEN fine THEN {_sql_tagged('w[1:half]', 'A')} END AS line, NOT fine AS failed FROM pos
-        UNION ALL SELECT url, sent_no, 'POS', 1, {_sql_tagged('w[half + 1:]', 'B')}, false FROM pos WHERE fine
-        UNION ALL SELECT url, sent_no, 'DEPENDENCY', 0, NULL, true FROM pos
-        UNION ALL SELECT url, sent_no, 'CONSTITUENCY', 0, NULL, true FROM pos""",
+    "annotation_faults": SQL_FAULT_ROWS,
+    "annotation_faults_batched": SQL_FAULT_ROWS,
     "manifest_parse": f"{MANIFEST} SELECT app_id, line_no, value FROM manifest",
     "task_validation": f"{TASKS} SELECT * FROM tasks",
     "task_resolve": """

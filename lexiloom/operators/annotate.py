@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 import pyarrow as pa
@@ -17,7 +18,20 @@ ANALYSES = ("POS", "CONSTITUENCY", "DEPENDENCY")
 #   DEPENDENCY    a list of (relation, governor, dependent), in the parser's order
 #   CONSTITUENCY  a bracketed tree
 Annotator = Callable[[str], Iterable[Any]]
-AnnotatorFactory = Callable[[], Annotator]
+
+
+@dataclass(frozen=True)
+class Batched:
+    """A factory of annotators that take many sentences at once and give as many results, in order.
+
+    Sentences of similar length come together, at most ``size`` of them.
+    """
+
+    factory: Callable[[], Callable[[list[str]], Sequence[Iterable[Any]]]]
+    size: int = 64
+
+
+AnnotatorFactory = Callable[[], Annotator] | Batched
 
 TOKENS = "array<struct<word:string,tag:string>>"
 EDGES = "array<struct<pos:int,rel:string,gov:string,dep:string>>"
@@ -55,10 +69,11 @@ class _Built:
         self.factories = factories
         self.done: dict[str, Annotator | Exception] = {}
 
-    def __getitem__(self, analysis: str) -> Annotator:
+    def __getitem__(self, analysis: str) -> Callable:
         if analysis not in self.done:
             try:
-                self.done[analysis] = self.factories[analysis]()
+                factory = self.factories[analysis]
+                self.done[analysis] = (factory.factory if isinstance(factory, Batched) else factory)()
             except Exception as error:  # noqa: BLE001 - remembered for every sentence
                 self.done[analysis] = error
         found = self.done[analysis]
@@ -67,6 +82,53 @@ class _Built:
         return found
 
 
+def _one(annotator: Annotator, analysis: str, sentence: str) -> list[tuple]:
+    """Rows of a sentence: part, cells, error."""
+    try:
+        return [(part, *_cells(analysis, found), None) for part, found in enumerate(annotator(sentence))]
+    except Exception as error:  # noqa: BLE001 - any failure skips this sentence only
+        return [(0, None, None, None, f"{type(error).__name__}: {error}")]
+
+
+def _many(annotator: Callable, analysis: str, texts: list[str]) -> list[list[tuple]]:
+    """Rows of each sentence. A batch that fails is halved until the sentence at fault is alone."""
+    try:
+        results = list(annotator(texts))
+        if len(results) != len(texts):
+            raise ValueError(f"{len(results)} results for {len(texts)} sentences")
+    except Exception as error:  # noqa: BLE001 - any failure skips the sentences at fault only
+        if len(texts) == 1:
+            return [[(0, None, None, None, f"{type(error).__name__}: {error}")]]
+        half = len(texts) // 2
+        return _many(annotator, analysis, texts[:half]) + _many(annotator, analysis, texts[half:])
+    return [_one(lambda _, found=found: found, analysis, text) for text, found in zip(texts, results)]
+
+
+def _all(built: _Built, annotators: Mapping[str, AnnotatorFactory], analyses: list[str], texts: list[str]) -> list[list[tuple]]:
+    """Rows of each sentence, in order; those of one analysis are annotated together if it takes batches."""
+    out: list[list[tuple]] = [[] for _ in texts]
+    together: dict[str, list[int]] = {}
+    for i, analysis in enumerate(analyses):
+        if isinstance(annotators.get(analysis), Batched) and texts[i] is not None:
+            together.setdefault(analysis, []).append(i)
+        else:
+            out[i] = _one(lambda text, analysis=analysis: built[analysis](text), analysis, texts[i])
+    for analysis, places in together.items():
+        places.sort(key=lambda i: len(texts[i]))
+        size = annotators[analysis].size
+        for k in range(0, len(places), size):
+            some = places[k : k + size]
+            try:
+                annotator = built[analysis]
+            except Exception as error:  # noqa: BLE001 - a failing factory fails its sentences
+                found = [[(0, None, None, None, f"{type(error).__name__}: {error}")]] * len(some)
+            else:
+                found = _many(annotator, analysis, [texts[i] for i in some])
+            for i, rows in zip(some, found):
+                out[i] = rows
+    return out
+
+
 def annotate(
     sentences: DataFrame,
     annotators: Mapping[str, AnnotatorFactory],
@@ -75,7 +137,7 @@ def annotate(
     """Add ``part_no, tokens, edges, tree, error`` to rows with ``analysis, sentence``.
 
     ``annotators`` maps an analysis to a factory that builds the annotator, once per
-    partition. A sentence whose annotator fails, or gives anything but the strings asked
+    partition; a ``Batched`` one takes many sentences at once. A sentence whose annotator fails, or gives anything but the strings asked
     for, gives one row with ``error`` and the partition goes on; an unknown analysis and
     a failing factory are such failures. ``partitions`` spreads the
     sentences evenly before the expensive part. Rows travel as Arrow batches.
@@ -92,17 +154,10 @@ def annotate(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built = _Built(annotators)
         for batch in batches:
-            source: list[int] = []
-            rows: list[tuple] = []
             columns = batch.column("analysis").to_pylist(), batch.column("sentence").to_pylist()
-            for i, (analysis, sentence) in enumerate(zip(*columns)):
-                try:
-                    cells = [_cells(analysis, found) for found in built[analysis](sentence)]
-                    new = [(part, *cell, None) for part, cell in enumerate(cells)]
-                except Exception as error:  # noqa: BLE001 - any failure skips this sentence only
-                    new = [(0, None, None, None, f"{type(error).__name__}: {error}")]
-                source.extend([i] * len(new))
-                rows.extend(new)
+            found = _all(built, annotators, *columns)
+            source = [i for i, new in enumerate(found) for _ in new]
+            rows = [row for new in found for row in new]
             kept = batch.take(pa.array(source, pa.int64()))
             part, tokens, edges, tree, error = zip(*rows) if rows else ((),) * 5
             added = [

@@ -2,7 +2,7 @@ import pytest
 from checks.tasks import ANNOTATORS
 from pyspark.sql import functions as F
 
-from lexiloom.operators.annotate import annotate
+from lexiloom.operators.annotate import Batched, annotate
 from lexiloom.operators.sentences import (
     annotation_lines,
     dependency_lines,
@@ -135,6 +135,35 @@ def test_an_annotator_may_find_several_sentences_and_is_built_once(spark, tmp_pa
     assert log.read_text() == "x"
 
 
+def test_batches_are_halved_down_to_the_sentence_at_fault(spark, tmp_path):
+    log = tmp_path / "calls"
+
+    def factory():
+        def run(texts):
+            with open(log, "a") as f:
+                f.write(f"{len(texts)}\n")
+            if any("bad" in t for t in texts):
+                raise ValueError("bad one")
+            return [[[(w, "T") for w in t.split()]] for t in texts]
+
+        return run
+
+    texts = [f"sentence number {k}" + " and more" * (k % 5) for k in range(100)]
+    texts[17] = "a bad one"
+    docs = spark.createDataFrame([("POS", k, t) for k, t in enumerate(texts)], "analysis string, sent_no int, sentence string").coalesce(1)
+    found = annotate(docs, {"POS": Batched(factory, 32)}).collect()
+    assert [r.sent_no for r in found] == list(range(100)) and [r.sent_no for r in found if r.error] == [17]
+    assert found[17].error == "ValueError: bad one"
+    assert [t.word for t in found[5].tokens] == texts[5].split()
+    calls = [int(x) for x in log.read_text().split()]
+    # Four batches, and two halves for each of five levels around the bad sentence.
+    assert calls[0] == 32 and len(calls) == 4 + 10
+    short = annotate(docs, {"POS": Batched(lambda: lambda texts: [[]] * (len(texts) - 1), 10)}).collect()
+    assert len(short) == 100 and all("0 results for 1" in r.error for r in short)
+    none = annotate(docs, {"POS": Batched(lambda: 1 / 0)}).collect()
+    assert len(none) == 100 and all("ZeroDivisionError" in r.error for r in none)
+
+
 def test_run_tasks(spark, manifest, pages, tmp_path):
     tasks = parse_tasks(read_manifest(spark, manifest, app(), str(tmp_path)))
     results = run_tasks(tasks, pages, ANNOTATORS, partitions=3, work_dir=str(tmp_path))
