@@ -2,47 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
 
-from lexiloom.functions.stopwords import StopWords
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
+from lexiloom.functions.stats import llr
+from lexiloom.functions.stopwords import StopWords, is_stopword
+from lexiloom.functions.text import clean_token, decade
 
-def _literals(words: tuple[str, ...]) -> str:
-    quoted = (w.replace("\\", "\\\\").replace("'", "\\'") for w in words)
-    return ", ".join(f"'{w}'" for w in quoted) or "NULL"
+
+def define(spark: SparkSession, name: str, column: Callable[..., Column], returns: str, **parameters: str) -> None:
+    """Make a SQL function of a column expression over parameters of the given types."""
+    columns = (F.lit(None).cast(kind).alias(x) for x, kind in parameters.items())
+    plan = spark.range(0).select(*columns).select(column(*map(F.col, parameters)))._jdf.queryExecution().analyzed()
+    body = plan.expressions().head().child().sql()
+    signature = ", ".join(f"{x} {kind}" for x, kind in parameters.items())
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({signature}) RETURNS {returns} RETURN {body}")
 
 
 def register_functions(spark: SparkSession, stop: StopWords | None = None) -> None:
-    """Register ``llr``, ``decade``, ``clean_token`` and ``is_stopword`` for SQL users."""
+    """Register ``llr``, ``decade``, ``clean_token`` and ``is_stopword`` for SQL users: the column functions, as SQL."""
     stop = stop or StopWords.default()
-    define = "CREATE OR REPLACE TEMPORARY FUNCTION"
-    spark.sql(
-        f"""{define} decade(y INT) RETURNS STRING RETURN concat(y - y % 10, 's')"""
-    )
-    spark.sql(
-        rf"""{define} clean_token(w STRING) RETURNS STRING
-        RETURN regexp_replace(w, '[^\\p{{InHebrew}}a-zA-Z\\p{{Nd}}]+', '')"""
-    )
-    spark.sql(
-        rf"""{define} is_stopword(w STRING) RETURNS BOOLEAN RETURN (
-            SELECT coalesce(t <> '' AND (lower(t) IN ({_literals(stop.folded)})
-                                         OR t IN ({_literals(stop.exact)})), false)
-            FROM (SELECT regexp_replace(w, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '') AS t))"""
-    )
-    spark.sql(
-        f"""{define} llr_term(o DOUBLE, e DOUBLE) RETURNS DOUBLE
-        RETURN CASE WHEN o = 0 THEN 0D ELSE o * ln(try_divide(o, e)) END"""
-    )
-    spark.sql(
-        f"""{define} llr_cells(a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, n DOUBLE) RETURNS DOUBLE
-        RETURN CASE WHEN a + b = 0 OR c + d = 0 OR a + c = 0 OR b + d = 0 THEN 0D ELSE
-          2D * (llr_term(a, try_divide((a + b) * (a + c), n))
-              + llr_term(b, try_divide((a + b) * (b + d), n))
-              + llr_term(c, try_divide((c + d) * (a + c), n))
-              + llr_term(d, try_divide((c + d) * (b + d), n))) END"""
-    )
-    spark.sql(
-        f"""{define} llr(c12 DOUBLE, c1 DOUBLE, c2 DOUBLE, n DOUBLE) RETURNS DOUBLE
-        RETURN llr_cells(c12, greatest(0D, c1 - c12), greatest(0D, c2 - c12),
-                         greatest(0D, n - c1 - c2 + c12), n)"""
-    )
+    define(spark, "decade", decade, "STRING", y="int")
+    define(spark, "clean_token", clean_token, "STRING", w="string")
+    define(spark, "llr", llr, "DOUBLE", c12="double", c1="double", c2="double", n="double")
+    define(spark, "is_stopword", lambda w: is_stopword(w, stop), "BOOLEAN", w="string")
