@@ -12,6 +12,7 @@ Encoding and decoding are maps over rows: nothing is shuffled, and a lost task i
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -240,8 +241,27 @@ def decode(encoded: DataFrame, ranks: bytes | None = None, pattern: str = public
 
 
 def digests(docs: DataFrame, ranks: bytes | None = None) -> DataFrame:
-    """Round trip of every document: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    ranks = ranks or ranks_file()
-    return decode(encode(docs, ranks), ranks).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    """Round trip of every document: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
+
+    Texts are encoded and decoded in one worker, so that a task holds the vocabulary once.
+    """
+    ranks, pattern = ranks or ranks_file(), public_tokenizers.PATTERN
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _bpe(ranks, pattern)
+        for rows, _, _ in text_chunks(batches):
+            ids = bpe.encode(rows.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("doc_id"),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                    pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]),
+                ],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+        # Workers outlive their tasks.
+        bpe.cache.clear()
+        pa.default_memory_pool().release_unused()
+
+    return texts_of(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
