@@ -60,6 +60,50 @@ def test_a_rule_takes_its_sentences(spark):
     assert got == {0: ["AB", "C"], 1: ["B", "C"], 2: ["C"]}
 
 
+GNU = """/* This program is free software{0} you can redistribute it and/or modify
+ * it under the terms of the GNU {1}General Public License as published by
+ * the Free Software Foundation{2} either version {3} of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful, */"""
+MPL = """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this
+# file, You can obtain one at https://mozilla.org/MPL/2.0/. """
+ZLIB = """  This software is provided 'as-is', without any express or implied
+  warranty.  In no event will the authors be held liable for any damages
+  arising from the use of this software.
+
+  Permission is granted to anyone to use this software for any purpose,
+  including commercial applications, and to alter it and redistribute it
+  freely, subject to the following restrictions:
+
+  1. The origin of this software must not be misrepresented"""
+
+
+def test_notices_as_they_are_written(spark):
+    got = found(
+        spark, GNU.format(":", "", ",", "3"), GNU.format(";", "", ";", "2"), GNU.format(";", "Lesser ", ";", "2.1"), GNU.format(":", "Lesser ", ",", "3"),
+        GNU.format(":", "Affero ", ",", "3"), MPL, ZLIB, "This is free and unencumbered software released into the public domain.\n\nAnyone is free",
+        "// Distributed under the Boost Software License, Version 1.0.\n// (See accompanying file)", "Licensed under the Artistic License 2.0.",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+        "copyright notice and this permission notice appear in all copies.\n",
+    )
+    assert got == {
+        0: ["GPL-3.0-or-later"], 1: ["GPL-2.0-or-later"], 2: ["LGPL-2.1-or-later"], 3: ["LGPL-3.0-or-later"], 4: ["AGPL-3.0-or-later"],
+        5: ["MPL-2.0"], 6: ["Zlib"], 7: ["Unlicense"], 8: ["BSL-1.0"], 9: ["Artistic-2.0"], 10: ["ISC"],
+    }
+
+
+def test_any_sentences_are_found(spark):
+    """What is not worth a look follows from the sentences that are known."""
+    known = {"a": "you may use it freely", "b": "no strings", "c": "42"}
+    texts = ["Hello.  You MAY use it, freely!  No strings.", "n\u00ba 42.\nNo\nstrings", "you may not", "\u212aa. NO STRINGS"]
+    frame = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, sentence_ids string")
+    got = {r.doc_id: (r.sentence_ids, r.licenses) for r in L.scan(frame, known, (("free", ("a", "b")),)).collect()}
+    assert got == {0: (["a", "b"], ["free"]), 1: (["b"], []), 2: ([], []), 3: (["b"], [])}
+    assert [r.sentence_ids for r in L.scan(frame, {}, ()).collect()] == [[]] * 4
+
+
 def test_edges(spark):
     long = "no such sentence here. " * 50_000 + "Released under the MIT License."
     frame = spark.createDataFrame([(1, long), (None, "Released under the MIT License."), (1, long)], "doc_id long, text string")
