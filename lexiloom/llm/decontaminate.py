@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,9 @@ BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
 #: Words of a piece at most, and words of an item up to which its bit vectors are kept.
 PIECE, KEPT = 24, 2048
-MIN_WORDS = 5
+#: Items of fewer words must be found word for word.
+EXACT_BELOW = 5
 SAMPLED = 3
-HAMMING = 0.6
 STEPS = 2
 WALKS = 9
 WINDOWS = 4096
@@ -48,6 +49,14 @@ _SAMPLE = _RANDOM.integers(0, 2**63, SAMPLED, dtype=np.uint64) * np.uint64(2) +
 END = np.uint64(0)
 
 
+def hamming_share(percent: int) -> float:
+    """Share of the steps in which embeddings of pieces with the allowed edits differ, measured on random words.
+
+    It grows by a point for each point of edits beyond 25.
+    """
+    return min(0.95, 0.6 + 0.01 * max(0, 75 - percent))
+
+
 def tables_for(recall: float, hamming_share: float, sampled: int = SAMPLED) -> int:
     """Tables that find a pair, whose embeddings differ in that share, with that probability."""
     hit = (1 - hamming_share) ** sampled
@@ -71,7 +80,8 @@ def _bits(places: list[int], n: int) -> int:
 
 
 def allowed_edits(n: int, percent: int) -> int:
-    return n * (100 - percent) // 100
+    """Edits of an item of ``n`` words; one of fewer than ``EXACT_BELOW`` words must occur as it is."""
+    return n * (100 - percent) // 100 if n >= EXACT_BELOW else 0
 
 
 class Items:
@@ -82,7 +92,7 @@ class Items:
         data = np.frombuffer("".join(texts).encode(), np.uint8)
         offsets = np.frombuffer(column.buffers()[1], np.int64)[: len(texts) + 1]
         words, first = plain_words(data, offsets)
-        keep = [i for i in range(len(ids)) if first[i + 1] - first[i] >= MIN_WORDS]
+        keep = [i for i in range(len(ids)) if first[i + 1] > first[i]]
         self.ids = [ids[i] for i in keep]
         self.words = [words[first[i] : first[i + 1]] for i in keep]
         self.size = np.array([len(w) for w in self.words], np.int64)
@@ -110,7 +120,7 @@ class Items:
             seen = np.zeros(1 << 22, bool)
             seen[hashes >> np.uint64(42)] = True
             self.seeds[run] = hashes, at[order], piece[order], seen
-        per_walk = -(-tables_for(recall, HAMMING) // WALKS)
+        per_walk = -(-tables_for(recall, hamming_share(percent)) // WALKS)
         self.samples = np.random.default_rng(99).random((WALKS, per_walk, SAMPLED))
         self.keys = [np.zeros((len(pieces), per_walk), np.uint64) for _ in range(WALKS)]
         for k in range(0, len(pieces), WINDOWS):
@@ -271,10 +281,10 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = 80, recall: float
 
     Words are runs without white space and ASCII punctuation, A-Z lower-cased. An item of ``n`` words
     matches a document that has a run of words within ``n * (100 - percent) // 100`` word insertions,
-    deletions and replacements of it. ``recall`` is what the tables aim at for pairs of pieces
-    whose embeddings differ in a share ``HAMMING`` of their steps.
+    deletions and replacements of it; items of fewer than five words match word for word. ``recall`` is what the tables aim at for pairs of pieces
+    with as many edits as are allowed (see ``hamming_share``).
 
-    Null and empty texts, on either side, match nothing, nor do items of fewer than ``MIN_WORDS`` words
+    Null and empty texts, on either side, match nothing, nor do items without a word
     or without ``item_id``. Repeated documents or items repeat their matches (once per ``doc_id`` and
     ``item_id``). Empty tables give no rows; other columns do not matter. More than ``block`` items, or
     ``BLOCK_BYTES`` of their text, are taken in blocks, with one pass over the documents each. Items may have any length.
@@ -283,14 +293,15 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = 80, recall: float
     queries = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
     n, size = queries.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // block), -(-size // BLOCK_BYTES))
-    out = None
+    out = []
     for k in range(blocks):
         own = queries.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         own = own.distinct().orderBy("item_id", "text").collect()
         index = Items([r[0] for r in own], [r[1] for r in own], percent, recall)
         found = texts.mapInArrow(lambda it, index=index: _match(it, index), "doc_id long, item_id long, edits int")
-        out = found if out is None else out.unionByName(found)
-    return out.groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"))
+        # One index at a time: its matches are written before the next one is built.
+        out.append(materialize(found, f"block-matches-{k}") if blocks > 1 else found)
+    return reduce(DataFrame.unionByName, out).groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, percent: int = 80, recall: float = 0.99) -> DataFrame:
