@@ -144,7 +144,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
     )
     late = (
         marks.filter(F.col("kind") == OPEN)
-        .join(F.broadcast(totals), "key")
+        .join(totals, "key")
         .filter(F.col("doc_id") < F.col("top"))
     )
     settled = marks.filter(F.col("kind") == DROP)
