@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.common import SPACE, mix, run_starts, span_hashes, text_chunks, word_bounds
 from lexiloom.llm.minhash import _PLACE
+from lexiloom.operators.joins import join_small
 from lexiloom.session import materialize
 
 ORDER = 5
@@ -253,8 +254,8 @@ def bands(scored: DataFrame) -> DataFrame:
     """``lang, middle, spread``: median of the log perplexity, and of the distance from it, at least ``SPREAD``."""
     middle = materialize(scored.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle")), "medians")
     away = F.abs(F.col("log_perplexity") - F.col("middle")) / _width(F.col("n_bytes"))
-    # A row per language; Spark splits the join of a language that holds most rows.
-    spread = scored.join(middle, "lang").groupBy("lang").agg(F.percentile_approx(away, 0.5, 10_000).alias("away"))
+    # A row per language: broadcast, or else salted, so that no language is a hot key.
+    spread = join_small(scored, middle, ["lang"], ["doc_id"]).groupBy("lang").agg(F.percentile_approx(away, 0.5, 10_000).alias("away"))
     return middle.join(spread, "lang").select("lang", "middle", F.greatest(1.4826 * F.col("away"), F.lit(SPREAD)).alias("spread"))
 
 
@@ -329,7 +330,10 @@ def judge(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> DataFr
         _measure, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
     )
     scored = materialize(perplexities(docs, order, entries, held_out=True), "perplexities")
-    rated = scored.join(bands(scored.filter("log_perplexity IS NOT NULL")), "lang", "left")
+    some = scored.filter("log_perplexity IS NOT NULL")
+    limits = materialize(bands(some), "bands")
+    none = scored.filter("log_perplexity IS NULL").select("*", *(F.lit(None).cast("double").alias(x) for x in ("middle", "spread")))
+    rated = join_small(some, limits, ["lang"], ["doc_id"]).unionByName(none)
     width = F.col("spread") * _width(F.col("n_bytes"))
     rated = rated.select(
         "doc_id",
