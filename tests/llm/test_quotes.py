@@ -82,3 +82,23 @@ def test_against_sql(spark):
     result = con.sql(QUOTES_SQL)
     out = Q.reply_order(frame).select(*result.columns)
     assert sorted(map(repr, result.fetchall())) == sorted(repr(tuple(r)) for r in out.collect())
+
+
+def test_the_whole_table_with_quotes_against_sql(spark):
+    """Every message of the given table quotes the two before it, the nearer one more deeply."""
+    import duckdb
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from lexiloom.llm.queries import QUOTES_SQL
+
+    table = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    quote = lambda k, mark: F.concat(F.lit(mark), F.regexp_replace(F.lag("text", k).over(order), "\n", "\n" + mark), F.lit("\n\n"))
+    text = F.concat(F.coalesce(quote(2, ">> "), F.lit("")), F.coalesce(quote(1, "> "), F.lit("")), F.col("text"))
+    quoted = table.withColumn("text", text)
+    con = duckdb.connect()
+    con.register("conversations", quoted.toPandas())
+    result = con.sql(QUOTES_SQL)
+    out = Q.reply_order(quoted).select(*result.columns).collect()
+    assert sorted(map(repr, result.fetchall())) == sorted(repr(tuple(r)) for r in out)
+    assert sum(r.quotes for r in out) > len(out) / 2 and max(r.depth for r in out) > 2 and sum(r.parent is not None for r in out) > len(out) / 2
