@@ -26,6 +26,7 @@ RESULT_SCHEMA = (
 #: Accepted tasks of an app as runs of line numbers, in folders by a hash of the app.
 RUNS = "app_id string, first long, last long, app_bucket int"
 APP_BUCKETS = 64
+COUNTS = "app_id string, n_tasks long"
 #: Line numbers that are brought together to make runs of them.
 CHUNK = 1 << 16
 MAX_AGE = "36500d"
@@ -82,10 +83,10 @@ def claim_output(spark: SparkSession, out: str, checkpoint: str) -> None:
 
 
 def _start(
-    rows: DataFrame, write: Callable[[DataFrame, int], None], out: str, checkpoint: str, available_now: bool, mode: str = "append"
+    lines: DataFrame, write: Callable[[DataFrame, int], None], out: str, checkpoint: str, available_now: bool
 ) -> StreamingQuery:
-    claim_output(rows.sparkSession, out, checkpoint)
-    writer = rows.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    claim_output(lines.sparkSession, out, checkpoint)
+    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
@@ -204,6 +205,10 @@ def app_states(spark: SparkSession, out: str) -> DataFrame:
     return states.select("*", outstanding.alias("outstanding"), (outstanding == 0).alias("done"))
 
 
+def _sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("app_id").agg(F.sum("n_tasks").alias("n_tasks"))
+
+
 def start_progress(
     lines: DataFrame,
     out: str,
@@ -213,19 +218,27 @@ def start_progress(
 ) -> StreamingQuery:
     """Running number of delivered tasks per app, one folder per micro-batch below ``out``.
 
-    The stream keeps a counter per app; ``app_states`` needs none.
-
-    ``update`` writes the apps that changed, ``complete`` all of them.
+    ``update`` writes the apps that changed, ``complete`` all of them. Counts of earlier batches lie in a few blocks
+    (see ``ledger``), so the stream keeps no state for an app, finished or not.
     """
-    counts = lines.groupBy("app_id").agg(F.count(F.lit(1)).alias("n_tasks"))
+    if mode not in ("update", "complete"):
+        raise ValueError(f"unknown mode: {mode}")
+    spark, root = lines.sparkSession, f"{out}/counts"
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        ledger.compact(spark, root, number, COUNTS, _sums)
+        ledger.append(batch.groupBy("app_id").agg(F.count(F.lit(1)).alias("n_tasks")), root, number)
+        new = ledger.read_blocks(spark, root, [(0, number)], COUNTS).select("app_id", "n_tasks")
+        before = ledger.read_before(spark, root, number, COUNTS).select("app_id", "n_tasks")
+        if mode == "update":
+            before = before.join(new.select("app_id"), "app_id", "left_semi")
+        _sums(before.unionByName(new)).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return _start(counts, write, out, checkpoint, available_now, mode)
+    return _start(lines, write, out, checkpoint, available_now)
 
 
 def latest_progress(spark: SparkSession, out: str) -> DataFrame:
-    """``app_id, n_tasks`` after the last batch that touched an app."""
-    batches = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
-    return batches.groupBy("app_id").agg(F.max_by("n_tasks", "batch").alias("n_tasks"))
+    """``app_id, n_tasks`` of all batches so far, from the few blocks of their counts."""
+    root = f"{out}/counts"
+    blocks = ledger.finished_blocks(spark, root)
+    return _sums(ledger.read_blocks(spark, root, blocks, COUNTS))

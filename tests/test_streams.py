@@ -105,6 +105,22 @@ def test_states_while_a_batch_is_at_work(spark, tmp_path):
     assert states == {"a": (8, 4, 4, False), "b": (4, 4, 0, True)}
 
 
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_progress_keeps_no_state(spark, tmp_path, mode):
+    box, out = tmp_path / "in", str(tmp_path / "out")
+    for k in range(10):
+        manifest(box, f"app{k % 3}-{k}", range(k + 1))
+    stream = S.stream_lines(spark, str(box), F.regexp_extract("file", r"(app\d)-", 1), files_per_trigger=1)
+    query = S.start_progress(stream, out, str(tmp_path / "state"), mode)
+    query.awaitTermination()
+    assert not query.lastProgress["stateOperators"]
+    totals = {f"app{a}": sum(k + 1 for k in range(a, 10, 3)) for a in range(3)}
+    assert {r.app_id: r.n_tasks for r in S.latest_progress(spark, out).collect()} == totals
+    last = {r.app_id: r.n_tasks for r in spark.read.parquet(f"{out}/batch=9").collect()}
+    assert last == totals if mode == "complete" else len(last) == 1 and last.items() <= totals.items()
+    assert folder_names(spark, f"{out}/counts/level=0") and len(folder_names(spark, f"{out}/counts/level=0")) <= 3
+
+
 def test_runs(spark, rows, monkeypatch):
     monkeypatch.setattr(S, "CHUNK", 4)
     lines = [*range(11), 13, 14, 20]
