@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 PARTS = 256
 
 
-def top_k(df: DataFrame, k: int, by: str, keys: list[str], ties: list[str], parts: int = PARTS) -> DataFrame:
+def top_k(df: DataFrame, k: int, by: str, keys: list[str], ties: list[str | Column], parts: int = PARTS) -> DataFrame:
     """The ``k`` largest ``by`` of every group, with ``ties`` making a total order.
 
     A tree of three levels. The rank filter becomes a partial limit before each shuffle, so a task ships at most
