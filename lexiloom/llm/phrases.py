@@ -24,10 +24,10 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lexiloom.llm.common import TO_LOWER, mix, run_starts, span_hashes, text_chunks, word_bounds
 from lexiloom.llm.maxent import pack, unpack
+from lexiloom.operators.topk import top_k
 from lexiloom.session import materialize
 
 MIN_COUNT, TOP, ABSORB_PERCENT = 10, 2000, 50
@@ -366,8 +366,7 @@ def collocations(
         F.when(second, F.col("n3")).otherwise(F.coalesce("rest", "n2")).alias("r"),
         F.when(second, F.col("two")).otherwise(F.col("one")).alias("score"),
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    best = top_k(scored, top, "score", ["lang"], [F.desc("a"), "phrase"])
     return best.join(sizes, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("size").alias("n"), "score"
     )
