@@ -4,7 +4,7 @@
    anchor hash, whether another batch has it too.
 2. With the answers a batch cuts out the stretches whose anchor is shared. Of equal stretches in a batch, all but those of
    the smallest id are settled at once; the others go, by anchor, to a shard.
-3. A shard streams its sorted rows, writes their stretches end to end and sorts the suffixes by induction with disk-backed
+3. A shard does the same with the stretches of all batches, writes those that are left end to end and sorts the suffixes by induction with disk-backed
    queues (see ``induced``). Windows that share a prefix of ``length`` are equal; those of a larger id than the run's
    smallest are covered.
 4. Covered spans go back to their batch, which unites them per document and hashes what is left.
@@ -32,7 +32,7 @@ from lexiloom.llm.maxent import pack, unpack
 from lexiloom.session import materialize
 
 LENGTH = 50
-BATCH = 1 << 24
+BATCH = 1 << 23
 #: Anchor hashes in one task's sum, and bytes of text per shard.
 ASKED, SHARD = 2_000_000, 1 << 23
 
@@ -135,7 +135,7 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "shared": pa.array(blobs, pa.binary())})
 
 
-CUT = "shard int, batch long, docs binary, places binary, windows binary, text binary"
+CUT = "shard int, batch long, anchors binary, docs binary, places binary, windows binary, text binary"
 
 
 def _cut(batch: pa.Table, answers: pa.Table, length: int, buckets: int, shards: int) -> pa.Table:
@@ -154,12 +154,9 @@ def _cut(batch: pa.Table, answers: pa.Table, length: int, buckets: int, shards:
     wanted = np.repeat(shared | several, np.diff(np.append(runs, len(anchor))))
     out = []
 
-    def row(shard: int, own: np.ndarray, text: bytes) -> None:
-        out.append((shard, b.number, pack(doc[own]), pack(place[own]), pack(n[own]), text))
-
     settled = np.flatnonzero(wanted & ~least)
     if len(settled):
-        row(-1, settled, b"")
+        out.append((-1, b.number, None, pack(doc[settled]), pack(place[settled]), pack(n[settled]), b""))
     sent = np.flatnonzero(wanted & least)
     shard = _buckets(anchor[sent] << np.uint64(20), shards)
     sent = sent[np.argsort(shard, kind="stable")]
@@ -170,12 +167,13 @@ def _cut(batch: pa.Table, answers: pa.Table, length: int, buckets: int, shards:
             own = sent[a:z]
             size = n[own] + length - 1
             at = np.repeat(place[own] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            # Ids, as documents of all batches meet.
-            out.append((k, b.number, pack(np.stack([doc[own], b.docs[doc[own]]], axis=1).ravel()), pack(place[own]), pack(n[own]), zstandard.ZstdCompressor(level=1).compress(b.data[at].tobytes())))
-    columns = list(zip(*out)) or [[]] * 6
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            # Ids, as documents of all batches meet. Anchors ascend.
+            anchors = pack(np.diff((anchor[own] >> np.uint64(8)).astype(np.uint32), prepend=np.uint32(0)))
+            out.append((k, b.number, anchors, pack(np.stack([doc[own], b.docs[doc[own]]], axis=1).ravel()), pack(place[own]), pack(n[own]), zstandard.ZstdCompressor(level=1).compress(b.data[at].tobytes())))
+    columns = list(zip(*out)) or [[]] * 7
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
     return pa.Table.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "batch", "docs", "places", "windows", "text"]
+        [pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "batch", "anchors", "docs", "places", "windows", "text"]
     )
 
 
@@ -194,11 +192,12 @@ def _spans_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class Shard:
-    """Stretches of one shard, end to end in a file, and where they come from."""
+    """Stretches of one shard, and where they come from; those that must be sorted end to end in a file."""
 
     def __init__(self, length: int, memory: int):
         self.length, self.memory = length, memory
         self.text, self.scratch = tempfile.TemporaryFile(), tempfile.TemporaryFile()
+        self.parts: list[tuple] = []
         self.rows: list[tuple] = []
         self.size = 0
 
@@ -206,16 +205,57 @@ class Shard:
         docs = unpack(r["docs"], np.int64).reshape(-1, 2)
         place, n = unpack(r["places"], np.int64), unpack(r["windows"], np.int64)
         raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["text"]), np.uint8)
-        size = n + self.length - 1
+        ends = np.cumsum(n + self.length - 1)
+        content = span_hashes(raw, ends - n - self.length + 1, ends)
+        anchor = np.cumsum(unpack(r["anchors"], np.uint32), dtype=np.uint32)
+        self.parts.append((r["batch"], docs[:, 0].astype(np.int32), docs[:, 1], place, n.astype(np.int32), anchor, content, r["text"]))
+
+    def settled(self) -> Iterator[tuple]:
+        """Spans of stretches that are whole in a smaller id; writes those that are left to be sorted.
+
+        Of an anchor's equal stretches those of the smallest id stand for all. Where an anchor then has one content
+        only, nothing covers it. So the sort gets what is alike in part, however many copies there are.
+        """
+        anchor, content, ids = (np.concatenate([part[k] for part in self.parts]) for k in (5, 6, 2))
+        order = np.lexsort((ids, content, anchor))
+        runs = run_starts(anchor[order], content[order])
+        sizes = np.diff(np.append(runs, len(order)))
+        least = np.empty(len(order), np.int64)
+        least[order] = np.repeat(ids[order][runs], sizes)
+        groups = run_starts(anchor[order][runs])
+        contents = np.diff(np.append(groups, len(runs)))
+        several = np.empty(len(order), bool)
+        several[order] = np.repeat(np.repeat(contents > 1, contents), sizes)
+        at = 0
+        for batch, doc, own, place, n, _, _, text in self.parts:
+            here = slice(at, at + len(own))
+            at += len(own)
+            gone = np.flatnonzero(own > least[here])
+            if len(gone):
+                yield spans_row(batch, doc[gone], place[gone], place[gone] + n[gone] + self.length - 1)
+            use = np.flatnonzero((own == least[here]) & several[here])
+            if len(use):
+                self._write(batch, doc, own, place, n, text, use)
+        self.parts = []
+
+    def _write(self, batch: int, doc, ids, place, n, text: bytes, use: np.ndarray) -> None:
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(text), np.uint8)
+        size = n[use].astype(np.int64) + self.length - 1
+        ends = np.cumsum(n.astype(np.int64) + self.length - 1)[use]
+        which = np.repeat(np.arange(len(use)), size)
+        step = np.arange(size.sum())
         # A 1 after every stretch; bytes are 2 and up.
-        spaced = np.ones(len(raw) + len(n), np.uint16)
-        spaced[np.arange(len(raw)) + np.repeat(np.arange(len(n)), size)] = raw.astype(np.uint16) + 2
+        spaced = np.ones(len(step) + len(use), np.uint16)
+        spaced[step + which] = raw[step + np.repeat(ends - np.cumsum(size), size)].astype(np.uint16) + 2
         self.text.write(spaced.tobytes())
-        self.rows.append((r["batch"], docs[:, 0].astype(np.int32), docs[:, 1], place, n.astype(np.int32), self.size + np.cumsum(size + 1) - size - 1))
+        self.rows.append((batch, doc[use], ids[use], place[use], n[use], self.size + np.cumsum(size + 1) - size - 1))
         self.size += len(spaced)
 
     def covered(self) -> Iterator[tuple]:
         """Spans of windows whose string a smaller id has, a row per batch."""
+        yield from self.settled()
+        if not self.rows:
+            return
         self.text.write(np.zeros(1, np.uint16).tobytes())
         self.text.flush()
         small = 2 * (self.size + 1) <= self.memory
@@ -298,29 +338,34 @@ def _settled(rows: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
+def united(starts: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and end of the maximal runs that spans cover; spans do not cross documents."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], ends[order]
+    doc, reach = np.searchsorted(offsets, starts, "right") - 1, np.maximum.accumulate(ends)
+    new = np.ones(len(starts), bool)
+    new[1:] = (starts[1:] > reach[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    return doc[first], starts[first], reach[np.append(first[1:], len(starts)) - 1] if len(first) else reach
+
+
 def _remove(batch: pa.Table, spans: pa.Table) -> pa.Table:
     """The remaining bytes of every document of a batch."""
     b = Batch(batch.to_pylist()[0])
-    delta = np.zeros(len(b.data) + 1, np.int64)
-    for starts, ends in zip(spans.column("starts").to_pylist(), spans.column("ends").to_pylist()):
-        np.add.at(delta, unpack(starts, np.int64), 1)
-        np.add.at(delta, unpack(ends, np.int64), -1)
-    gone = np.cumsum(delta)[:-1] > 0
-    begins = gone.copy()
-    begins[1:] &= ~gone[:-1]
-    edges = b.offsets[:-1][b.sizes > 0]
-    begins[edges] = gone[edges]
-    sums = [np.concatenate([[0], np.cumsum(x)]) for x in (gone, begins)]
-    removed, runs = (x[b.offsets[1:]] - x[b.offsets[:-1]] for x in sums)
-    kept = []
-    for k, (a, z) in enumerate(zip(b.offsets[:-1].tolist(), b.offsets[1:].tolist())):
-        kept.append((b.data[a:z][~gone[a:z]] if removed[k] else b.data[a:z]).tobytes())
+    none = [np.zeros(0, np.int64)]
+    starts, ends = (np.concatenate(none + [unpack(x, np.int64) for x in spans.column(c).to_pylist()]) for c in ("starts", "ends"))
+    doc, starts, ends = united(starts, ends, b.offsets)
+    bounds = np.searchsorted(doc, np.arange(len(b.docs) + 1))
+    raw, kept = memoryview(b.data), []
+    for a, z, low, high in zip(b.offsets[:-1].tolist(), b.offsets[1:].tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+        edges = [a, *np.stack([starts[low:high], ends[low:high]], axis=1).ravel().tolist(), z]
+        kept.append(b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])))
     return pa.table(
         {
             "doc_id": pa.array(b.docs),
             "n_bytes": pa.array(b.sizes),
-            "n_removed": pa.array(removed, pa.int64()),
-            "n_spans": pa.array(runs, pa.int64()),
+            "n_removed": pa.array(np.bincount(doc, ends - starts, len(b.docs)).astype(np.int64)),
+            "n_spans": pa.array(np.diff(bounds), pa.int64()),
             "kept": pa.array(kept, pa.binary()),
         }
     )
