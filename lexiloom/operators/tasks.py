@@ -53,17 +53,18 @@ def requested_pages(
     wanted = tasks.filter(F.col("error").isNull()).select("url").distinct()
     if fits_broadcast(wanted, max_rows):
         found = pages.select("url", "text").join(F.broadcast(wanted), "url", "left_semi")
-    elif "_metadata" in hidden_columns(pages):
+    elif has_places(pages):
         return late_pages(wanted, pages, work_dir, max_rows)
     else:
         found = pages.select("url", "text").join(wanted, "url", "left_semi")
     return found.filter("text IS NOT NULL").groupBy("url").agg(F.min("text").alias("text"))
 
 
-def hidden_columns(df: DataFrame) -> list[str]:
-    """Names of the metadata columns of a table that is read from files (also below projections and filters)."""
-    found = df._jdf.queryExecution().analyzed().metadataOutput()
-    return [found.apply(i).name() for i in range(found.size())]
+def has_places(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` come from one table of files that knows the number of a row (also below projections and filters)."""
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+    found = [hidden.apply(i) for i in range(hidden.size()) if hidden.apply(i).name() == "_metadata"]
+    return len(found) == 1 and "row_index" in list(found[0].dataType().fieldNames())
 
 
 def late_pages(wanted: DataFrame, pages: DataFrame, work_dir: str | None, max_rows: int) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from checks.tasks import ANNOTATORS
 from pyspark.sql import functions as F
 
-from lexiloom.operators.tasks import file_blocks, parse_tasks, requested_pages
+from lexiloom.operators.tasks import file_blocks, has_places, parse_tasks, requested_pages
 from lexiloom.plans.text_analysis import run_tasks
 from lexiloom.session import folder_names
 from lexiloom.sources.manifests import read_manifest
@@ -179,6 +179,9 @@ def test_pages_by_place(spark, pages, tmp_path, rows):
     # A table that is not read from files is joined by URL.
     made = spark.createDataFrame(table.collect(), table.schema)
     assert rows(requested_pages(tasks, made, str(tmp_path), max_rows=7)) == expected
+    # Nor has a table of lines, or a join of two tables, places of its own.
+    assert has_places(table) and has_places(table.select("url").filter("url > 'a'"))
+    assert not any(map(has_places, (made, spark.read.text(path), table.join(table.select("url"), "url"), table.unionByName(table), table.groupBy("url").count())))
     none = tasks.filter("line_no < 0")
     assert requested_pages(none, table, str(tmp_path), max_rows=0).count() == 0 == requested_pages(none, table, str(tmp_path)).count()
 
