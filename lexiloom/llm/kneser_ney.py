@@ -5,7 +5,8 @@ the count tables. N-grams are bytes because their number is bounded by the scrip
 words it would grow with the corpus (nearly every second word pair here is new). The counts go to the tasks in
 sorted arrays, from which numpy interpolates the probabilities of all orders.
 
-``judge`` scores every text by the counts of all others: its own are taken off the highest order, and n-grams that
+``judge`` learns from the texts that pass the base rules and are hardly made of symbols, so that junk does not make itself
+likely, and scores all texts. A text that is learned from is scored by the counts of all others: its own are taken off the highest order, and n-grams that
 nothing else has off the continuation counts below, so that unseen n-grams fall back to shorter contexts. Counts of
 single bytes and the discounts stay those of the corpus. A model larger than ``ENTRIES`` is taken in blocks of
 context bytes, with one pass over the texts each; the sums of the blocks add up, and one block at a time is held.
@@ -28,12 +29,13 @@ from lexiloom.session import materialize
 ORDER = 5
 ENTRIES = 8_000_000
 HELD = 2_000_000
-#: How many spreads from a language's median log perplexity are fine, below and above: half a percent of the documents
-#: labelled good that pass the base rules (even ids of a sample; odd ids are for tests) lie outside on either side.
-BELOW, ABOVE = 2.8, 3.3
-#: The least spread, and the length at which the spread of short texts is twice as wide.
-SPREAD, SHORT = 0.02, 400
+#: A text may be this many times as far from the median of its language as the quantiles of this share.
+WIDER, TAIL = 2.0, 0.005
+#: The least distance that is allowed, and the length at which that of short texts is twice as wide.
+SPREAD, SHORT = 0.05, 400
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
+#: Symbols among the characters of a text that the model learns from.
+MAX_SYMBOL_PERCENT = 1
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -50,7 +52,7 @@ def ngram_keys(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> np.
     return keys
 
 
-def _count(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterable[pa.RecordBatch], order: int, teach: bool) -> Iterator[pa.RecordBatch]:
     def out(keys, counts):
         return pa.RecordBatch.from_arrays(
             [pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())], names=["key", "c"]
@@ -64,7 +66,8 @@ def _count(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.RecordB
     parts, held = [], 0
     for _, data, offsets in text_chunks(batches):
         if len(data):
-            parts.append(np.unique(ngram_keys(data, offsets, order), return_counts=True))
+            parts.append((ngram_keys(data, offsets, order), np.repeat(learned(data, offsets, teach), np.diff(offsets))))
+            parts[-1] = merged(parts[-1:])
             held += len(parts[-1][0])
         if held > HELD:
             parts = [merged(parts)]
@@ -76,9 +79,14 @@ def _count(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.RecordB
         yield out(*merged(parts))
 
 
-def count_ngrams(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """``key, c``: every n-gram of the texts and how often it is there."""
-    parts = texts.mapInArrow(lambda it: _count(it, order), "key long, c long")
+def learned(data: np.ndarray, offsets: np.ndarray, teach: bool) -> np.ndarray:
+    """Which rows the model learns from: all, or those that ``teaches`` names."""
+    return teaches(data, offsets) if teach else np.ones(len(offsets) - 1, bool)
+
+
+def count_ngrams(texts: DataFrame, order: int = ORDER, teach: bool = False) -> DataFrame:
+    """``key, c``: every n-gram of the texts, and how often those that are learned from have it."""
+    parts = texts.mapInArrow(lambda it: _count(it, order, teach), "key long, c long")
     return parts.groupBy("key").agg(F.sum("c").alias("c"))
 
 
@@ -97,7 +105,7 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 def lower_orders(counts: DataFrame, order: int = ORDER) -> tuple[np.ndarray, dict[int, list[float]]]:
     """Probabilities of single bytes, and the discounts of every order from 2 on, by continuation counts."""
-    discounts, table = {}, counts
+    discounts, table = {}, counts.filter("c > 0")
     for k in range(order, 0, -1):
         if k < order:
             # A lower order counts the distinct bytes that precede.
@@ -149,7 +157,8 @@ class Model:
             else:
                 totals, freed = counts, counts.astype(float)
             self.levels[k] = keys, counts, contexts[first], totals, freed
-            keys, counts = np.unique(keys & self.mask(k - 1), return_counts=True)
+            keys, where = np.unique(keys & self.mask(k - 1), return_inverse=True)
+            counts = np.bincount(where, counts > 0, len(keys)).astype(np.int64)
 
     @staticmethod
     def mask(k: int) -> np.uint64:
@@ -176,7 +185,7 @@ class Model:
             free = freed[at] - np.add.reduceat(_cut(all_, self.discounts[k]) - kept, first)
             lower, where = np.unique((pairs & ~full) | (pairs & self.mask(k - 1)), return_inverse=True)
             steps.append((left - kept, total[group], np.maximum(free, 0)[group], where))
-            own = np.bincount(where, left == 0, len(lower)).astype(np.int64) if held_out else np.zeros(len(lower), np.int64)
+            own = np.bincount(where, (left == 0) & (own > 0), len(lower)).astype(np.int64) if held_out else np.zeros(len(lower), np.int64)
             pairs = lower
         p = self.singles[(pairs & np.uint64(255)).astype(np.int64)]
         for seen, total, free, where in reversed(steps):
@@ -191,7 +200,7 @@ def _row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def _score(batches: Iterable[pa.RecordBatch], model, ends: np.ndarray, held_out: bool) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterable[pa.RecordBatch], model, ends: np.ndarray, held_out: bool, teach: bool) -> Iterator[pa.RecordBatch]:
     table = model.value
     order = table.order
     for rows, data, offsets in text_chunks(batches):
@@ -201,16 +210,18 @@ def _score(batches: Iterable[pa.RecordBatch], model, ends: np.ndarray, held_out:
         pairs.sort()
         first = run_starts(pairs)
         own = np.diff(np.append(first, len(pairs)))
-        logs = table.log_p(pairs[first], own, held_out) if len(pairs) else np.zeros(0)
         at = (pairs[first] >> np.uint64(8 * order)).astype(np.int64)
+        taught = learned(data, offsets, teach)
+        logs = table.log_p(pairs[first], own * taught[at], held_out) if len(pairs) else np.zeros(0)
         yield pa.RecordBatch.from_arrays(
             [
                 rows.column("doc_id"),
                 rows.column("lang"),
                 pa.array(np.bincount(at, logs * own, rows.num_rows)),
                 pa.array(np.bincount(at, own, rows.num_rows).astype(np.int64)),
+                pa.array(taught),
             ],
-            names=["doc_id", "lang", "log_p", "n_bytes"],
+            names=["doc_id", "lang", "log_p", "n_bytes", "taught"],
         )
 
 
@@ -222,16 +233,19 @@ def language_texts(docs: DataFrame) -> DataFrame:
     ).filter("doc_id IS NOT NULL")
 
 
-def perplexities(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES, held_out: bool = False) -> DataFrame:
-    """``doc_id, lang, n_bytes, log_perplexity`` of every document; without text null.
+def perplexities(
+    docs: DataFrame, order: int = ORDER, entries: int = ENTRIES, held_out: bool = False, teach: bool = False
+) -> DataFrame:
+    """``doc_id, lang, n_bytes, taught, log_perplexity`` of every document; without text null.
 
-    With ``held_out`` a row is scored by the counts of all others.
+    With ``held_out`` a row is scored by the counts of all others. With ``teach`` the counts are those of the
+    documents that look like prose (``taught``), and all are scored.
     """
     texts = language_texts(docs)
-    counts = materialize(count_ngrams(texts, order), "ngrams")
+    counts = materialize(count_ngrams(texts, order, teach), "ngrams")
     singles, discounts = lower_orders(counts, order)
     end = F.shiftright("key", 8).bitwiseAND(F.lit(255))
-    parts = texts.select("doc_id", "lang", F.lit(0.0).alias("log_p"), F.lit(0).cast("long").alias("n_bytes"))
+    parts = texts.select("doc_id", "lang", F.lit(0.0).alias("log_p"), F.lit(0).cast("long").alias("n_bytes"), F.lit(False).alias("taught"))
     context = docs.sparkSession.sparkContext
     for block in _blocks([tuple(r) for r in counts.groupBy(end).count().collect()], entries):
         own = counts.filter(end.isin(block)).toArrow()
@@ -240,23 +254,36 @@ def perplexities(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES, he
         here = np.zeros(256, bool)
         here[block] = True
         part = texts.mapInArrow(
-            lambda it, shared=shared, here=here: _score(it, shared, here, held_out),
-            "doc_id long, lang string, log_p double, n_bytes long",
+            lambda it, shared=shared, here=here: _score(it, shared, here, held_out, teach),
+            "doc_id long, lang string, log_p double, n_bytes long, taught boolean",
         )
         # One block at a time: its model is let go before the next is read.
         parts = parts.unionByName(materialize(part, "block-scores"))
         shared.destroy()
-    sums = parts.groupBy("doc_id", "lang").agg(F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"))
-    return sums.select("doc_id", "lang", "n_bytes", F.when(F.col("n_bytes") > 0, -F.col("log_p") / F.col("n_bytes")).alias("log_perplexity"))
+    sums = parts.groupBy("doc_id", "lang").agg(
+        F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"), F.max("taught").alias("taught")
+    )
+    return sums.select("doc_id", "lang", "n_bytes", "taught", F.when(F.col("n_bytes") > 0, -F.col("log_p") / F.col("n_bytes")).alias("log_perplexity"))
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """``lang, middle, spread``: median of the log perplexity, and of the distance from it, at least ``SPREAD``."""
-    middle = materialize(scored.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle")), "medians")
-    away = F.abs(F.col("log_perplexity") - F.col("middle")) / _width(F.col("n_bytes"))
+    """``lang, middle, below, above``: median of the log perplexity, and how far from it a text may be.
+
+    That is ``WIDER`` times as far as the ``TAIL`` quantiles of the texts that are learned from, and at least ``SPREAD``. A language
+    without such texts goes by all it has.
+    """
+
+    def of_taught(column: Column, share: float) -> Column:
+        return F.coalesce(F.percentile_approx(F.when(F.col("taught"), column), share, 10_000), F.percentile_approx(column, share, 10_000))
+
+    middle = materialize(scored.groupBy("lang").agg(of_taught(F.col("log_perplexity"), 0.5).alias("middle")), "medians")
+    away = (F.col("log_perplexity") - F.col("middle")) / _width(F.col("n_bytes"))
     # A row per language: broadcast, or else salted, so that no language is a hot key.
-    spread = join_small(scored, middle, ["lang"], ["doc_id"]).groupBy("lang").agg(F.percentile_approx(away, 0.5, 10_000).alias("away"))
-    return middle.join(spread, "lang").select("lang", "middle", F.greatest(1.4826 * F.col("away"), F.lit(SPREAD)).alias("spread"))
+    tails = join_small(scored, middle, ["lang"], ["doc_id"]).groupBy("lang").agg(
+        (-of_taught(away, TAIL)).alias("below"), of_taught(away, 1 - TAIL).alias("above")
+    )
+    limits = (F.greatest(WIDER * F.col(x), F.lit(SPREAD)).alias(x) for x in ("below", "above"))
+    return middle.join(tails, "lang").select("lang", "middle", *limits)
 
 
 def _width(n_bytes: Column) -> Column:
@@ -264,51 +291,65 @@ def _width(n_bytes: Column) -> Column:
     return F.lit(1.0) + F.lit(float(SHORT)) / F.greatest(n_bytes, F.lit(1))
 
 
+def measures(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Words, their characters, symbols, repeated lines and words in repeated windows of every row."""
+    n_rows = len(offsets) - 1
+    starts, ends, row = word_bounds(data, offsets)
+    words = span_hashes(data, starts, ends)
+    first = np.searchsorted(row, np.arange(n_rows + 1))
+    repeated = np.zeros(len(words) + 1, np.int64)
+    n = max(0, len(words) - WINDOW + 1)
+    if n:
+        windows = np.zeros(n, np.uint64)
+        for k in range(WINDOW):
+            windows += words[k : k + n] * _PLACE[k]
+        windows = mix(windows) + mix(row[:n].astype(np.uint64) + np.uint64(1))
+        place = np.flatnonzero(row[:n] == row[WINDOW - 1 :])
+        order = np.argsort(windows[place])
+        run = windows[place][order]
+        twice = np.zeros(len(run), bool)
+        twice[1:] = run[1:] == run[:-1]
+        twice[:-1] |= run[1:] == run[:-1]
+        at = place[order[twice]]
+        np.add.at(repeated, at, 1)
+        np.add.at(repeated, at + WINDOW, -1)
+    repeats = np.cumsum(repeated)[:-1] > 0
+    breaks = np.flatnonzero(data == 10)
+    begin = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
+    begin = begin[begin < len(data)]
+    line_row = np.searchsorted(offsets, begin, "right") - 1
+    stop = np.minimum(np.append(begin[1:], len(data)), offsets[line_row + 1])
+    stop = stop - ((stop > begin) & (data[stop - 1] == 10))
+    solid = np.concatenate([[0], np.cumsum(~SPACE[data])])
+    filled = solid[stop] > solid[begin]
+    begin, stop, line_row = begin[filled], stop[filled], line_row[filled]
+    lines = span_hashes(data, begin, stop)
+    order = np.lexsort((lines, line_row))
+    distinct = line_row[order][run_starts(line_row[order], lines[order])]
+    points = ((data & 0xC0) != 0x80) & ~SPACE[data]
+    return [
+        np.diff(first),
+        _row_sums(points, offsets),
+        _row_sums(SYMBOL[data], offsets),
+        np.bincount(line_row, minlength=n_rows) - np.bincount(distinct, minlength=n_rows),
+        _row_sums(repeats, first),
+    ]
+
+
+def base_rules(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
+
+
+def teaches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rows that the model learns from: those that pass the base rules and are hardly made of symbols."""
+    n_words, chars, symbols, _, repeats = measures(data, offsets)
+    return ~base_rules(n_words, repeats) & (100 * symbols <= MAX_SYMBOL_PERCENT * chars)
+
+
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in text_chunks(batches):
-        n_rows = rows.num_rows
-        starts, ends, row = word_bounds(data, offsets)
-        words = span_hashes(data, starts, ends)
-        first = np.searchsorted(row, np.arange(n_rows + 1))
-        repeated = np.zeros(len(words) + 1, np.int64)
-        n = max(0, len(words) - WINDOW + 1)
-        if n:
-            windows = np.zeros(n, np.uint64)
-            for k in range(WINDOW):
-                windows += words[k : k + n] * _PLACE[k]
-            windows = mix(windows) + mix(row[:n].astype(np.uint64) + np.uint64(1))
-            place = np.flatnonzero(row[:n] == row[WINDOW - 1 :])
-            order = np.argsort(windows[place])
-            run = windows[place][order]
-            twice = np.zeros(len(run), bool)
-            twice[1:] = run[1:] == run[:-1]
-            twice[:-1] |= run[1:] == run[:-1]
-            at = place[order[twice]]
-            np.add.at(repeated, at, 1)
-            np.add.at(repeated, at + WINDOW, -1)
-        repeats = np.cumsum(repeated)[:-1] > 0
-        breaks = np.flatnonzero(data == 10)
-        begin = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
-        begin = begin[begin < len(data)]
-        line_row = np.searchsorted(offsets, begin, "right") - 1
-        stop = np.minimum(np.append(begin[1:], len(data)), offsets[line_row + 1])
-        stop = stop - ((stop > begin) & (data[stop - 1] == 10))
-        solid = np.concatenate([[0], np.cumsum(~SPACE[data])])
-        filled = solid[stop] > solid[begin]
-        begin, stop, line_row = begin[filled], stop[filled], line_row[filled]
-        lines = span_hashes(data, begin, stop)
-        order = np.lexsort((lines, line_row))
-        distinct = line_row[order][run_starts(line_row[order], lines[order])]
-        points = ((data & 0xC0) != 0x80) & ~SPACE[data]
-        columns = [
-            np.diff(first),
-            _row_sums(points, offsets),
-            _row_sums(SYMBOL[data], offsets),
-            np.bincount(line_row, minlength=n_rows) - np.bincount(distinct, minlength=n_rows),
-            _row_sums(repeats, first),
-        ]
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in columns)],
+            [rows.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in measures(data, offsets))],
             names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"],
         )
 
@@ -329,18 +370,18 @@ def judge(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> DataFr
     measured = texts.mapInArrow(
         _measure, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
     )
-    scored = materialize(perplexities(docs, order, entries, held_out=True), "perplexities")
+    scored = materialize(perplexities(docs, order, entries, held_out=True, teach=True), "perplexities")
     some = scored.filter("log_perplexity IS NOT NULL")
     limits = materialize(bands(some), "bands")
-    none = scored.filter("log_perplexity IS NULL").select("*", *(F.lit(None).cast("double").alias(x) for x in ("middle", "spread")))
+    none = scored.filter("log_perplexity IS NULL").select("*", *(F.lit(None).cast("double").alias(x) for x in ("middle", "below", "above")))
     rated = join_small(some, limits, ["lang"], ["doc_id"]).unionByName(none)
-    width = F.col("spread") * _width(F.col("n_bytes"))
+    width = _width(F.col("n_bytes"))
     rated = rated.select(
         "doc_id",
         "lang",
         F.exp("log_perplexity").alias("perplexity"),
-        F.exp(F.col("middle") - BELOW * width).alias("low"),
-        F.exp(F.col("middle") + ABOVE * width).alias("high"),
+        F.exp(F.col("middle") - F.col("below") * width).alias("low"),
+        F.exp(F.col("middle") + F.col("above") * width).alias("high"),
     )
     rated = rated.groupBy("doc_id").agg(F.min(F.struct("lang", "perplexity", "low", "high")).alias("r"))
     out = measured.join(rated, "doc_id").select(*measured.columns, "r.*")

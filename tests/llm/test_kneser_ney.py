@@ -66,7 +66,7 @@ def model(texts, order):
 def test_perplexity(spark, docs, entries):
     p = model([t or "" for _, t in docs], 4)
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    for doc_id, _, n, log_perplexity in K.perplexities(frame, order=4, entries=entries).collect():
+    for doc_id, _, n, _, log_perplexity in K.perplexities(frame, order=4, entries=entries).collect():
         raw = b"\0" * 3 + (docs[doc_id][1] or "").encode()
         logs = [math.log(p[raw[i : i + 4]]) for i in range(len(raw) - 3)]
         assert n == len(logs)
@@ -126,9 +126,25 @@ def test_a_text_is_scored_by_the_others(spark, docs, entries):
 
 
 def test_junk_is_rejected_and_good_kept(spark):
-    """Labelled documents that pass the base rules; those of even id set the bands."""
+    """Labelled documents that pass the base rules. Bands come from the texts; no label is used."""
     sf = "/root/testdata/sf0.1"
-    judged = K.judge(spark.read.parquet(f"{sf}/documents.parquet")).filter("NOT base_failed AND doc_id % 2 = 1")
+    judged = K.judge(spark.read.parquet(f"{sf}/documents.parquet")).filter("NOT base_failed")
     rated = judged.join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id")
     kept = {r.quality: r.share for r in rated.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
-    assert kept[1] >= 0.98 and kept[0] <= 0.55
+    assert kept[1] >= 0.995 and kept[0] <= 0.05
+
+
+def test_junk_teaches_nothing(spark):
+    good = [(k, f"plain words make text number {k} that one may read and learn from", "en") for k in range(30)]
+    junk = [(100 + k, "$$$ plain%%% words### &&& " * 5 + str(k), "en") for k in range(60)]
+    other = [(300, "### ### nothing but signs here *** and there $$$ %%% ||| ### of it", "xx"), (301, None, "xx")]
+    frame = spark.createDataFrame(good + junk + other, "doc_id long, text string, lang string")
+    scored = {r.doc_id: r for r in K.perplexities(frame, held_out=True, teach=True).collect()}
+    assert all(scored[d].taught == (d < 100) for d in scored) and scored[301].log_perplexity is None
+    assert min(scored[d].log_perplexity for d in scored if 100 <= d < 300) > max(scored[d].log_perplexity for d in range(30))
+    alone = {r.doc_id: r.log_perplexity for r in K.perplexities(frame.filter("doc_id < 100"), held_out=True).collect()}
+    assert all(math.isclose(scored[d].log_perplexity, alone[d], rel_tol=1e-9) for d in alone)
+    judged = {r.doc_id: r for r in K.judge(frame).collect()}
+    assert all(judged[d].kept for d in range(30)) and not any(judged[d].kept for d in judged if d >= 100 and not judged[d].base_failed and d < 300)
+    # A language of which nothing is learned goes by what it has.
+    assert judged[300].kept and judged[300].low < judged[300].perplexity < judged[300].high
