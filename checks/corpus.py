@@ -31,6 +31,7 @@ from lexiloom.sources.documents import (
     word_pairs,
 )
 from lexiloom.sources.ngrams import read_collocations, read_ngrams, write_tsv
+from lexiloom.sources.sequencefile import read_sequence_files
 
 K = 100
 
@@ -149,6 +150,24 @@ def sequencefile_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.groupBy("ngram", "year").agg(F.sum("count").alias("total"))
 
 
+def sequencefile_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lines in block-compressed SequenceFiles, read in many splits."""
+    lines = ngram_lines(spark, sf, 1).select("value").filter(F.col("value") != "")
+    path, option = work_path(spark, "sequence"), "mapreduce.output.fileoutputformat.compress"
+    first = 1 << 33
+    lines.withColumn("k", F.monotonically_increasing_id() + first).select("k", "value").rdd.map(
+        tuple
+    ).saveAsNewAPIHadoopFile(
+        path,
+        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+        "org.apache.hadoop.io.LongWritable",
+        "org.apache.hadoop.io.Text",
+        conf={option: "true", f"{option}.type": "BLOCK", f"{option}.codec": "org.apache.hadoop.io.compress.DefaultCodec"},
+    )
+    parsed = parse_ngrams(read_sequence_files(spark, [path], split_bytes=100_000), 1)
+    return parsed.groupBy("ngram", "year").agg(F.sum("count").alias("total"))
+
+
 # --- cleaning, stop words, counts ----------------------------------------------------------
 
 
@@ -356,6 +375,7 @@ QUERIES = {
     "ngram_parse_bigram": lambda spark, sf: ngram_parse(spark, sf, 2),
     "ngram_parse_unigram": lambda spark, sf: ngram_parse(spark, sf, 1),
     "sequencefile_roundtrip": sequencefile_roundtrip,
+    "sequencefile_blocks": sequencefile_blocks,
     "clean_tokens": clean_tokens,
     "valid_bigrams": valid_bigram_rows,
     "stopword_filter": stopword_filter,
@@ -439,6 +459,7 @@ ORACLES = {
     "ngram_parse_bigram": _sql_parse(2),
     "ngram_parse_unigram": _sql_parse(1),
     "sequencefile_roundtrip": f"SELECT ngram, year, total FROM ({_sql_parse(1)})",
+    "sequencefile_blocks": f"SELECT ngram, year, total FROM ({_sql_parse(1)})",
     "clean_tokens": f"""{BASE} SELECT {c.sql_clean('word')} AS token, count(*) AS n
         FROM raw_uni GROUP BY ALL""",
     "valid_bigrams": f"{BASE} SELECT lang, w1, w2, count(*) AS n FROM bi GROUP BY ALL",

@@ -275,8 +275,8 @@ def requested_pages_by_place(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("url", F.md5("text").alias("text"))
 
 
-def _stream_progress(spark: SparkSession, sf: str, mode: str) -> DataFrame:
-    stream = stream_lines(spark, write_messages(spark, sf), folder("source"), files_per_trigger=8)
+def _stream_progress(spark: SparkSession, sf: str, mode: str, files: int = 8) -> DataFrame:
+    stream = stream_lines(spark, write_messages(spark, sf), folder("source"), files_per_trigger=files)
     out = work_path(spark, "stream-progress")
     state = work_path(spark, "stream-state")
     start_progress(stream, out, state, mode).awaitTermination()
@@ -416,6 +416,8 @@ QUERIES = {
     "requested_pages_by_place": requested_pages_by_place,
     "stream_progress": lambda spark, sf: _stream_progress(spark, sf, "update"),
     "stream_progress_complete": lambda spark, sf: _stream_progress(spark, sf, "complete"),
+    # A batch for every manifest, so that counts are merged in levels.
+    "stream_progress_batches": lambda spark, sf: _stream_progress(spark, sf, "update", 1),
 }
 
 # --- the same in SQL -----------------------------------------------------------------------------
@@ -562,6 +564,7 @@ ORACLES = {
         SELECT DISTINCT url, md5(text) AS text FROM tasks JOIN documents ON url = 'doc://' || doc_id
         WHERE error IS NULL AND line_no % 3 = 1""",
     "stream_progress": f"{STREAMED} SELECT app_id, count(*) AS n_tasks FROM tasks GROUP BY ALL",
+    "stream_progress_batches": f"{STREAMED} SELECT app_id, count(*) AS n_tasks FROM tasks GROUP BY ALL",
     "stream_progress_complete": f"""{STREAMED}
         SELECT app_id, count(*) AS n_tasks FROM tasks GROUP BY ALL""",
 }
