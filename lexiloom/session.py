@@ -38,6 +38,8 @@ def work_path(
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        if run_id is not None:
+            raise ValueError("a run that is to go on later needs a folder: give one, or set spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="run-")
     place = f"{label}-{uuid.uuid4().hex}" if run_id is None else f"{run_id}/{label}"
     return f"{root.rstrip('/')}/{place}"

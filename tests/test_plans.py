@@ -115,6 +115,9 @@ def test_work_path_uses_the_shared_folder(spark, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         assert work_path(spark, "x").startswith(shared.rstrip("/"))
+    else:
+        with pytest.raises(ValueError, match="needs a folder"):
+            work_path(spark, "stage", run_id="r")
     assert work_path(spark, "x") != work_path(spark, "x")
 
 
