@@ -34,7 +34,9 @@ def test_collocations(spark, tmp_path, no_small_tables):
     assert "BatchEvalPython" not in text and "ArrowEval" not in text
     # The ranking drops rows before the shuffle by period, and again after it.
     limits = [line for line in text.splitlines() if "WindowGroupLimit" in line]
-    assert ["Final" in line for line in limits] == [True, False] and "Partial" in limits[1]
+    # Two levels of the ranking, each with a limit before its shuffle.
+    assert ["Final" in line for line in limits] == [True, False, True, False]
+    assert "Partial" in limits[1] and "Partial" in limits[3]
     # Both sides of a word join have an exchange directly below the sort, so that
     # partitions of a hot word can be split at run time.
     assert text.count("SortMergeJoin") == 2
