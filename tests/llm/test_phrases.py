@@ -63,14 +63,15 @@ def got(spark, docs, parts=6, **more):
     return sorted(tuple(r) for r in result.collect())
 
 
-@pytest.mark.parametrize("batch_bytes, budget", [(1 << 23, 1 << 21), (2000, 50), (300, 1)])
-def test_brute_force(spark, batch_bytes, budget):
+@pytest.mark.parametrize(
+    "batch_bytes, budget, least, top", [(1 << 23, 1 << 21, 10, 2000), (2000, 50, 10, 2000), (2000, 50, 3, 40), (300, 1, 1, 5)]
+)
+def test_brute_force(spark, batch_bytes, budget, least, top):
     docs = texts(250)
     docs += [("hot pair " * 400 + ". hot pair of x", "en")] * 6 + [(f"hot pair w{k % 40}", "en") for k in range(300)]
     docs += [("en de en " * 12, "de"), ("de en de " * 12, "en")]  # words that are names of languages
     docs += [(None, "en"), ("", None), (" \t\n.", "de"), ("one two three", "only here")]
-    for least, top in ((10, 2000), (3, 40), (1, 5)):
-        assert got(spark, docs, batch_bytes=batch_bytes, budget=budget, min_count=least, top=top) == brute(docs, least, top)
+    assert got(spark, docs, batch_bytes=batch_bytes, budget=budget, min_count=least, top=top) == brute(docs, least, top)
 
 
 def test_absorbed_by_any_longer_candidate(spark):
