@@ -1,6 +1,7 @@
 """Token counts by a library's byte-level BPE, with huge documents encoded in overlapping chunks.
 
-1. Documents of up to a chunk are encoded as they are, a batch at a time.
+1. Documents of up to a chunk are cut at stable places (see 3), before each word. The library encodes every distinct segment
+   once, a batch at a time, and the counts of a document's segments add up.
 2. Longer ones are cut into chunks that run ``overlap`` characters into the next one. Chunks are rows of their own, dealt
    out evenly, so a huge document spreads over the cluster. Each is encoded with offsets.
 3. Neighbours are spliced at the first *stable* place that is a token boundary in both encodings of their overlap. Stable
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -34,6 +36,8 @@ FILE = "byte_bpe_50k.json"
 #: Characters of a chunk, and how far it runs into the next one.
 CHUNK, OVERLAP = 1 << 15, 1 << 10
 LIMIT = 512
+#: Segments whose counts a worker keeps.
+CACHED = 400_000
 
 #: Characters that are letters or digits in every version of Unicode, and such that are neither and end a word.
 WORD = "A-Za-z0-9À-ÖØ-öø-ʯͰ-ͳΑ-ΡΣ-ώА-яӐ-ӹא-תء-غက-ဪぁ-ゖァ-ヺ一-龥가-힣"
@@ -65,10 +69,21 @@ class Counter:
         if any(x.get("lstrip") or x.get("rstrip") for x in parts.get("added_tokens", [])):
             raise ValueError("added tokens that take white space with them are not supported")
         ends, spaces = ("".join(c for c in chars if c not in special) for chars in (AFTER, SPACES))
+        self.segments = re.compile(f"(?<=[!-~{WORD}])(?=[{re.escape(spaces)}])").split
+        self.cache: dict[str, int] = {}
         self.places = regex.compile(f"(?<=[{WORD}])[{regex.escape(ends)}]|(?<=[!-~])[{regex.escape(spaces)}]").finditer
 
     def counts(self, texts: list[str]) -> list[int]:
-        return [len(x) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Tokens of each text, as the sum over its segments between stable places."""
+        split = [self.segments(text) for text in texts]
+        new = list(set().union(*split) - self.cache.keys())
+        if len(self.cache) + len(new) > CACHED:
+            self.cache.clear()
+            new = list(set().union(*split))
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.cache.update(zip(new, map(len, found)))
+        get = self.cache.__getitem__
+        return [sum(map(get, segments)) for segments in split]
 
     def stable_places(self, text: str, first: int, last: int) -> list[int]:
         """Places between ``first`` and ``last`` at which every encoding of any longer text has a boundary.
@@ -107,6 +122,8 @@ def _short(rows: Iterable[pa.RecordBatch], definition: str) -> Iterator[pa.Recor
             [part.column("doc_id"), pa.array(offsets[1:] - offsets[:-1], pa.int64()), pa.array(counts, pa.int64())],
             names=["doc_id", "n_bytes", "n_tokens"],
         )
+    # Workers outlive their tasks.
+    _counter(definition).cache.clear()
 
 
 CHUNKS = pa.schema([("uid", pa.int64()), ("part", pa.int32()), ("last", pa.bool_()), ("tail", pa.int32()), ("text", pa.string())])

@@ -65,6 +65,15 @@ def test_stable_places_hold_in_any_surroundings(library):
             assert library.encode(text[:p], add_special_tokens=False).ids + library.encode(text[p:], add_special_tokens=False).ids == whole
 
 
+def test_segments_add_up(library, monkeypatch):
+    random.seed(6)
+    monkeypatch.setattr(T, "CACHED", 50)
+    counter = T.Counter(T.tokenizer_file())
+    texts = [random_text(random.choice([0, 10, 200, 3000])) for _ in range(200)] + ["", " ", "a", "a  b", "a\n\n b \t c", "é \u00e9 x\u00a0 y \u3000z", "don't 's <|endoftext|> <|endoftext|>"]
+    for k in range(0, len(texts), 9):
+        assert counter.counts(texts[k : k + 9]) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts[k : k + 9]]
+
+
 def test_edges(spark):
     empty = frame(spark, [(1, "a")]).limit(0)
     assert T.token_counts(empty).count() == 0
