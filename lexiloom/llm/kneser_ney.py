@@ -66,9 +66,10 @@ def _count(batches: Iterable[pa.RecordBatch], order: int, teach: bool) -> Iterat
     parts, held = [], 0
     for _, data, offsets in text_chunks(batches):
         if len(data):
-            parts.append((ngram_keys(data, offsets, order), np.repeat(learned(data, offsets, teach), np.diff(offsets))))
-            parts[-1] = merged(parts[-1:])
-            held += len(parts[-1][0])
+            keys, own = ngram_keys(data, offsets, order), np.repeat(learned(data, offsets, teach), np.diff(offsets))
+            rest = np.unique(keys[~own])
+            parts += [np.unique(keys[own], return_counts=True), (rest, np.zeros(len(rest), np.int64))]
+            held += len(parts[-2][0]) + len(rest)
         if held > HELD:
             parts = [merged(parts)]
             held = len(parts[0][0])
@@ -291,12 +292,11 @@ def _width(n_bytes: Column) -> Column:
     return F.lit(1.0) + F.lit(float(SHORT)) / F.greatest(n_bytes, F.lit(1))
 
 
-def measures(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """Words, their characters, symbols, repeated lines and words in repeated windows of every row."""
-    n_rows = len(offsets) - 1
+def word_measures(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Words, their characters, symbols, and words in repeated windows of every row."""
     starts, ends, row = word_bounds(data, offsets)
     words = span_hashes(data, starts, ends)
-    first = np.searchsorted(row, np.arange(n_rows + 1))
+    first = np.searchsorted(row, np.arange(len(offsets)))
     repeated = np.zeros(len(words) + 1, np.int64)
     n = max(0, len(words) - WINDOW + 1)
     if n:
@@ -314,6 +314,13 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         np.add.at(repeated, at, 1)
         np.add.at(repeated, at + WINDOW, -1)
     repeats = np.cumsum(repeated)[:-1] > 0
+    points = ((data & 0xC0) != 0x80) & ~SPACE[data]
+    return [np.diff(first), _row_sums(points, offsets), _row_sums(SYMBOL[data], offsets), _row_sums(repeats, first)]
+
+
+def repeated_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Lines of every row that are not blank and equal an earlier one."""
+    n_rows = len(offsets) - 1
     breaks = np.flatnonzero(data == 10)
     begin = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
     begin = begin[begin < len(data)]
@@ -326,14 +333,7 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     lines = span_hashes(data, begin, stop)
     order = np.lexsort((lines, line_row))
     distinct = line_row[order][run_starts(line_row[order], lines[order])]
-    points = ((data & 0xC0) != 0x80) & ~SPACE[data]
-    return [
-        np.diff(first),
-        _row_sums(points, offsets),
-        _row_sums(SYMBOL[data], offsets),
-        np.bincount(line_row, minlength=n_rows) - np.bincount(distinct, minlength=n_rows),
-        _row_sums(repeats, first),
-    ]
+    return np.bincount(line_row, minlength=n_rows) - np.bincount(distinct, minlength=n_rows)
 
 
 def base_rules(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
@@ -342,14 +342,15 @@ def base_rules(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
 
 def teaches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Rows that the model learns from: those that pass the base rules and are hardly made of symbols."""
-    n_words, chars, symbols, _, repeats = measures(data, offsets)
+    n_words, chars, symbols, repeats = word_measures(data, offsets)
     return ~base_rules(n_words, repeats) & (100 * symbols <= MAX_SYMBOL_PERCENT * chars)
 
 
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in text_chunks(batches):
+        *counts, repeats = word_measures(data, offsets)
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in measures(data, offsets))],
+            [rows.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in (*counts, repeated_lines(data, offsets), repeats))],
             names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"],
         )
 
