@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import text_chunks, texts_of
+from lexiloom.llm.common import release, text_chunks, texts_of
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WIDTHS = (4, 8, 16, 32, 64, 128, 256)
@@ -260,8 +260,7 @@ def digests(docs: DataFrame, ranks: bytes | None = None) -> DataFrame:
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
-        # Workers outlive their tasks.
         bpe.cache.clear()
-        pa.default_memory_pool().release_unused()
+        release()
 
     return texts_of(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
