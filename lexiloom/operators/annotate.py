@@ -75,19 +75,29 @@ class _Built:
                 factory = self.factories[analysis]
                 self.done[analysis] = (factory.factory if isinstance(factory, Batched) else factory)()
             except Exception as error:  # noqa: BLE001 - remembered for every sentence
-                self.done[analysis] = error
+                self.done[analysis] = error.with_traceback(None)
         found = self.done[analysis]
         if isinstance(found, Exception):
             raise found
         return found
 
 
+def _failed(error: Exception) -> tuple:
+    """The row of a failed sentence.
+
+    An exception may be remembered and raised again for the next sentence, by a factory that failed or by an annotator. Each time
+    Python adds frames to its traceback, and these hold batches, so the traceback is dropped.
+    """
+    error.__traceback__ = None
+    return (0, None, None, None, f"{type(error).__name__}: {error}")
+
+
 def _one(annotator: Annotator, analysis: str, sentence: str) -> list[tuple]:
     """Rows of a sentence: part, cells, error."""
     try:
         return [(part, *_cells(analysis, found), None) for part, found in enumerate(annotator(sentence))]
     except Exception as error:  # noqa: BLE001 - any failure skips this sentence only
-        return [(0, None, None, None, f"{type(error).__name__}: {error}")]
+        return [_failed(error)]
 
 
 def _many(annotator: Callable, analysis: str, texts: list[str]) -> list[list[tuple]]:
@@ -98,7 +108,7 @@ def _many(annotator: Callable, analysis: str, texts: list[str]) -> list[list[tup
             raise ValueError(f"{len(results)} results for {len(texts)} sentences")
     except Exception as error:  # noqa: BLE001 - any failure skips the sentences at fault only
         if len(texts) == 1:
-            return [[(0, None, None, None, f"{type(error).__name__}: {error}")]]
+            return [[_failed(error)]]
         half = len(texts) // 2
         return _many(annotator, analysis, texts[:half]) + _many(annotator, analysis, texts[half:])
     return [_one(lambda _, found=found: found, analysis, text) for text, found in zip(texts, results)]
@@ -121,7 +131,7 @@ def _all(built: _Built, annotators: Mapping[str, AnnotatorFactory], analyses: li
             try:
                 annotator = built[analysis]
             except Exception as error:  # noqa: BLE001 - a failing factory fails its sentences
-                found = [[(0, None, None, None, f"{type(error).__name__}: {error}")]] * len(some)
+                found = [[_failed(error)]] * len(some)
             else:
                 found = _many(annotator, analysis, [texts[i] for i in some])
             for i, rows in zip(some, found):

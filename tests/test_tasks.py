@@ -2,7 +2,7 @@ import pytest
 from checks.tasks import ANNOTATORS
 from pyspark.sql import functions as F
 
-from lexiloom.operators.annotate import Batched, annotate
+from lexiloom.operators.annotate import Batched, _all, _Built, annotate
 from lexiloom.operators.sentences import (
     annotation_lines,
     dependency_lines,
@@ -164,6 +164,28 @@ def test_batches_are_halved_down_to_the_sentence_at_fault(spark, tmp_path):
     assert len(none) == 100 and all("ZeroDivisionError" in r.error for r in none)
 
 
+def kept_frames(error):
+    """Frames that the traceback of an exception keeps alive."""
+    n, at = 0, error.__traceback__
+    while at is not None:
+        n, at = n + 1, at.tb_next
+    return n
+
+
+def test_remembered_errors_keep_no_frames():
+    error = KeyError("the same for every sentence")
+
+    def annotator(sentence):
+        raise error
+
+    annotators = {"POS": lambda: annotator, "DEPENDENCY": lambda: 1 / 0}
+    built, texts = _Built(annotators), ["a sentence"] * 500
+    for analysis, name in (("POS", "KeyError"), ("DEPENDENCY", "ZeroDivisionError"), ("OTHER", "KeyError")):
+        found = _all(built, annotators, [analysis] * len(texts), texts)
+        assert [len(rows) for rows in found] == [1] * len(texts) and all(rows[0][-1].startswith(name) for rows in found)
+    assert [kept_frames(e) for e in (error, built.done["DEPENDENCY"], built.done["OTHER"])] == [0, 0, 0]
+
+
 def test_run_tasks(spark, manifest, pages, tmp_path):
     tasks = parse_tasks(read_manifest(spark, manifest, app(), str(tmp_path)))
     results = run_tasks(tasks, pages, ANNOTATORS, partitions=3, work_dir=str(tmp_path))
