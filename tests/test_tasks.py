@@ -186,6 +186,20 @@ def test_remembered_errors_keep_no_frames():
     assert [kept_frames(e) for e in (error, built.done["DEPENDENCY"], built.done["OTHER"])] == [0, 0, 0]
 
 
+def test_remembered_errors_of_batches_keep_no_frames():
+    error = KeyError("the same for every batch")
+
+    def annotator(sentences):
+        raise error
+
+    annotators = {"POS": Batched(lambda: annotator, 8), "DEPENDENCY": Batched(lambda: 1 / 0, 8)}
+    built, texts = _Built(annotators), ["a sentence"] * 100
+    for analysis, name in (("POS", "KeyError"), ("DEPENDENCY", "ZeroDivisionError")):
+        found = _all(built, annotators, [analysis] * len(texts), texts)
+        assert [len(rows) for rows in found] == [1] * len(texts) and all(rows[0][-1].startswith(name) for rows in found)
+    assert [kept_frames(e) for e in (error, built.done["DEPENDENCY"])] == [0, 0]
+
+
 def test_run_tasks(spark, manifest, pages, tmp_path):
     tasks = parse_tasks(read_manifest(spark, manifest, app(), str(tmp_path)))
     results = run_tasks(tasks, pages, ANNOTATORS, partitions=3, work_dir=str(tmp_path))
