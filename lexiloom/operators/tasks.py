@@ -14,6 +14,10 @@ from lexiloom.session import materialize, work_path
 
 TASK = ["app_id", "line_no"]
 
+#: Rows of a file whose wanted places travel together, and how many such chunks are broadcast at once (4 million places).
+CHUNK_ROWS = 4096
+MAX_CHUNKS = 1024
+
 
 def parse_tasks(lines: DataFrame) -> DataFrame:
     """``app_id, line_no, analysis, url, error`` from ``app_id, line_no, value``.
@@ -70,27 +74,40 @@ def has_places(df: DataFrame) -> bool:
 def late_pages(wanted: DataFrame, pages: DataFrame, work_dir: str | None, max_rows: int) -> DataFrame:
     """``url, text`` of ``pages``, a table read from files, whose ``url`` is ``wanted``: places first, texts last.
 
-    Only URLs and places (file and row) are shuffled to find the wanted rows. Their places are then
-    counted by file, and blocks of files with at most ``max_rows`` of them are fetched one after another by a broadcast join, so
-    every block reads its own files only and no text moves. Only texts of URLs that occur more than once are compared, by URL.
+    Only URLs and places (file and row) are shuffled to find the wanted rows. Their places are then gathered into one row for
+    every ``CHUNK_ROWS`` rows of a file, and blocks of files with at most ``max_rows`` of these (at most ``MAX_CHUNKS``) are fetched one after
+    another by a broadcast join, so every block reads its own files only, a file is read once unless it has more rows than that, and
+    no text moves. Only texts of URLs that occur more than once are compared, by URL.
     """
     spark = pages.sparkSession
     places = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    chunk, key = F.expr(f"row div {CHUNK_ROWS}"), F.xxhash64("row", "url")
     found = pages.select("url", *places).join(wanted, "url", "left_semi")
     found = materialize(found, "wanted-places", work_dir)
     # Their own scan, so that rows of a URL with very many pages can be split.
     repeated = found.groupBy("url").count().filter("count > 1").select("url", F.lit(True).alias("repeated"))
-    found = materialize(found.join(repeated, "url", "left").withColumn("key", F.xxhash64("url")), "marked-places", work_dir)
+    marked = found.join(repeated, "url", "left").withColumns({"chunk": chunk, "key": key})
+    chunks = marked.groupBy("file", "chunk").agg(
+        F.collect_list(F.pmod("row", F.lit(CHUNK_ROWS)).cast("int")).alias("rows"),
+        F.collect_list("key").alias("keys"),
+        F.collect_list(F.when(F.col("repeated"), F.col("key"))).alias("repeated_keys"),
+    )
+    chunks = materialize(chunks, "marked-places", work_dir)
     out = work_path(spark, "wanted-pages", work_dir)
-    sizes = sorted(tuple(r) for r in found.groupBy("file").count().collect())
-    for block, (files, parts, part) in enumerate(file_blocks(sizes, max_rows)):
-        own = found.filter(F.col("file").isin(files) & (F.pmod("row", F.lit(parts)) == part))
-        scan = pages.select("url", "text", *places).filter(F.col("file").isin(files)).withColumn("key", F.xxhash64("url"))
-        rows = scan.join(F.broadcast(own.select("file", "row", "key", "repeated").distinct()), ["file", "row", "key"])
-        rows.select("url", "text", "repeated").filter("text IS NOT NULL").write.parquet(f"{out}/block={block}")
+    # A row may give several URLs, so a chunk can have more places than rows.
+    weight = F.sum(F.ceil(F.size("keys") / CHUNK_ROWS)).alias("weight")
+    sizes = sorted(tuple(r) for r in chunks.groupBy("file").agg(weight).collect())
+    wants = F.expr("array_contains(keys, key) AND array_contains(rows, place)")
+    for block, (files, parts, part) in enumerate(file_blocks(sizes, min(max_rows, MAX_CHUNKS))):
+        own = chunks.filter(F.col("file").isin(files) & (F.pmod("chunk", F.lit(parts)) == part))
+        scan = pages.select("url", "text", *places).filter(F.col("file").isin(files) & F.col("text").isNotNull())
+        scan = scan.withColumns({"chunk": chunk, "key": key, "place": F.pmod("row", F.lit(CHUNK_ROWS)).cast("int")})
+        rows = scan.join(F.broadcast(own), ["file", "chunk"]).filter(wants)
+        again = F.expr("array_contains(repeated_keys, key)").alias("repeated")
+        rows.select("url", "text", again).write.parquet(f"{out}/block={block}")
     schema = "url string, text string, repeated boolean, block int"
     fetched = spark.read.schema(schema).parquet(out) if sizes else spark.createDataFrame([], schema)
-    single = fetched.filter("repeated IS NULL").select("url", "text")
+    single = fetched.filter("NOT repeated").select("url", "text")
     several = fetched.filter("repeated").groupBy("url").agg(F.min("text").alias("text"))
     return single.unionByName(several)
 

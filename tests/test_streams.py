@@ -186,6 +186,20 @@ def test_pages_by_place(spark, pages, tmp_path, rows):
     assert requested_pages(none, table, str(tmp_path), max_rows=0).count() == 0 == requested_pages(none, table, str(tmp_path)).count()
 
 
+def test_places_are_fetched_in_chunks_of_rows(spark, tmp_path, rows):
+    path = str(tmp_path / "pages")
+    made = spark.range(0, 90, 1, 2).select(F.array(F.concat(F.lit("a"), "id"), F.concat(F.lit("b"), F.col("id") % 60)).alias("urls"), F.concat(F.lit("t"), "id").alias("text"))
+    made.write.parquet(path)
+    # A row gives two URLs, of which one may be wanted, or both; some URLs have two rows.
+    table = spark.read.parquet(path).select(F.explode("urls").alias("url"), "text")
+    assert has_places(table)
+    wanted = [f"a{i}" for i in range(0, 90, 2)] + [f"b{i}" for i in range(0, 60, 3)]
+    tasks = spark.createDataFrame([("a", k, "POS", u, None) for k, u in enumerate(wanted)], "app_id string, line_no long, analysis string, url string, error string")
+    found = requested_pages(tasks, table, str(tmp_path), max_rows=2)
+    assert rows(found) == rows(requested_pages(tasks, table, str(tmp_path))) and found.count() == 65
+    assert len(list(tmp_path.glob("wanted-pages-*/block=*"))) == 1
+
+
 def test_no_text_is_shuffled_to_find_pages(spark, pages, tmp_path, monkeypatch):
     from lexiloom.operators import tasks as operators
 
