@@ -139,6 +139,11 @@ def _all(built: _Built, annotators: Mapping[str, AnnotatorFactory], analyses: li
     return out
 
 
+def rebalance(df: DataFrame, partitions: int) -> DataFrame:
+    """``df`` dealt evenly to ``partitions``, which Spark splits at its advisory size: a task's share does not grow with the input."""
+    return df.hint("rebalance", partitions)
+
+
 def annotate(
     sentences: DataFrame,
     annotators: Mapping[str, AnnotatorFactory],
@@ -150,10 +155,10 @@ def annotate(
     partition; a ``Batched`` one takes many sentences at once. A sentence whose annotator fails, or gives anything but the strings asked
     for, gives one row with ``error`` and the partition goes on; an unknown analysis and
     a failing factory are such failures. ``partitions`` spreads the
-    sentences evenly before the expensive part. Rows travel as Arrow batches.
+    sentences evenly before the expensive part (``rebalance``). Rows travel as Arrow batches.
     """
     if partitions:
-        sentences = sentences.repartition(partitions)
+        sentences = rebalance(sentences, partitions)
     schema = T.StructType(
         sentences.schema.fields
         + T.StructType.fromDDL(

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.operators.annotate import AnnotatorFactory, annotate
+from lexiloom.operators.annotate import AnnotatorFactory, annotate, rebalance
 from lexiloom.operators.sentences import annotation_lines, document_lines, sentences
 from lexiloom.operators.tasks import (
     parse_tasks,
@@ -28,11 +28,13 @@ def annotated_lines(
 ) -> DataFrame:
     """Annotation lines of every (analysis, document) that some valid task asks for.
 
-    ``pages`` has one row per URL.
+    ``pages`` has one row per URL. Sentences are spread before they are repeated for every analysis.
     """
     found = sentences(requested_documents(tasks, pages))
+    if partitions:
+        found = rebalance(found, partitions)
     rows = found.select(F.explode("analyses").alias("analysis"), "url", "sent_no", "sentence")
-    return annotation_lines(annotate(rows, annotators, partitions))
+    return annotation_lines(annotate(rows, annotators))
 
 
 def run_tasks(

@@ -200,6 +200,17 @@ def test_remembered_errors_of_batches_keep_no_frames():
     assert [kept_frames(e) for e in (error, built.done["DEPENDENCY"])] == [0, 0]
 
 
+def test_a_partition_of_sentences_does_not_grow_with_the_input(spark):
+    docs = spark.range(0, 40_000, 1, 4).select(F.lit("POS").alias("analysis"), F.concat(F.lit("words "), F.sha2(F.col("id").cast("string"), 512)).alias("sentence"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    try:
+        found = annotate(docs, {"POS": ANNOTATORS["POS"]}, 2)
+        per_task = found.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert sum(n for _, n in per_task) == 40_000 and max(n for _, n in per_task) < 10_000
+
+
 def test_run_tasks(spark, manifest, pages, tmp_path):
     tasks = parse_tasks(read_manifest(spark, manifest, app(), str(tmp_path)))
     results = run_tasks(tasks, pages, ANNOTATORS, partitions=3, work_dir=str(tmp_path))
