@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import chain
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -43,23 +45,38 @@ _EDGES = pa.list_(
 )
 
 
-def _text(value: Any) -> str:
-    if not isinstance(value, str):
-        raise TypeError(f"expected a string, got {type(value).__name__}")
-    return value
+def _check(values: Iterable[Any]) -> None:
+    for value in values:
+        if not isinstance(value, str):
+            raise TypeError(f"expected a string, got {type(value).__name__}")
 
 
 def _cells(analysis: str, found: Any) -> tuple[Any, Any, Any]:
     """The columns of one annotation; anything but strings of the right arity is an error."""
     if analysis == "POS":
-        return [{"word": _text(word), "tag": _text(tag)} for word, tag in found], None, None
+        tokens = [(word, tag) for word, tag in found]
+        _check(chain.from_iterable(tokens))
+        return list(zip(*tokens)) or [(), ()], None, None
     if analysis == "DEPENDENCY":
-        edges = [
-            {"pos": pos, "rel": _text(rel), "gov": _text(gov), "dep": _text(dep)}
-            for pos, (rel, gov, dep) in enumerate(found)
-        ]
-        return None, edges, None
-    return None, None, _text(found)
+        edges = [(rel, gov, dep) for rel, gov, dep in found]
+        _check(chain.from_iterable(edges))
+        return None, list(zip(*edges)) or [(), (), ()], None
+    _check([found])
+    return None, None, found
+
+
+def _list_array(cells: Sequence[Any], kind: pa.ListType, numbered: bool = False) -> pa.Array:
+    """A list of structs per cell, which has a sequence per field; ``numbered`` adds the place in the list as the first field."""
+    sizes = np.array([0 if cell is None else len(cell[0]) for cell in cells], np.int32)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    fields = list(kind.value_type)
+    columns = [pa.array(np.arange(offsets[-1], dtype=np.int32) - np.repeat(offsets[:-1], sizes))] if numbered else []
+    for k in range(len(fields) - len(columns)):
+        columns.append(pa.array([text for cell in cells if cell is not None for text in cell[k]], pa.string()))
+    none = pa.array([cell is None for cell in cells], pa.bool_())
+    return pa.ListArray.from_arrays(
+        pa.array(offsets), pa.StructArray.from_arrays(columns, fields=fields), type=kind, mask=none
+    )
 
 
 class _Built:
@@ -177,8 +194,8 @@ def annotate(
             part, tokens, edges, tree, error = zip(*rows) if rows else ((),) * 5
             added = [
                 pa.array(part, pa.int32()),
-                pa.array(tokens, _TOKENS),
-                pa.array(edges, _EDGES),
+                _list_array(tokens, _TOKENS),
+                _list_array(edges, _EDGES, numbered=True),
                 pa.array(tree, pa.string()),
                 pa.array(error, pa.string()),
             ]

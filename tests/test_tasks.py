@@ -2,7 +2,7 @@ import pytest
 from checks.tasks import ANNOTATORS
 from pyspark.sql import functions as F
 
-from lexiloom.operators.annotate import Batched, _all, _Built, annotate
+from lexiloom.operators.annotate import _EDGES, _TOKENS, Batched, _all, _Built, _cells, _list_array, annotate
 from lexiloom.operators.sentences import (
     annotation_lines,
     dependency_lines,
@@ -211,6 +211,19 @@ def test_a_partition_of_sentences_does_not_grow_with_the_input(spark):
     assert sum(n for _, n in per_task) == 40_000 and max(n for _, n in per_task) < 10_000
 
 
+def test_cells_become_arrays_of_structs():
+    tokens = [_cells("POS", [("a", "A"), ("b", "B")])[0], None, _cells("POS", [])[0], _cells("POS", [("c", "C")])[0]]
+    assert _list_array(tokens, _TOKENS).to_pylist() == [
+        [{"word": "a", "tag": "A"}, {"word": "b", "tag": "B"}], None, [], [{"word": "c", "tag": "C"}]
+    ]
+    edges = [None, _cells("DEPENDENCY", [("r", "g", "d"), ("s", "h", "e")])[1], _cells("DEPENDENCY", [])[1]]
+    assert _list_array(edges, _EDGES, numbered=True).to_pylist() == [
+        None, [{"pos": 0, "rel": "r", "gov": "g", "dep": "d"}, {"pos": 1, "rel": "s", "gov": "h", "dep": "e"}], []
+    ]
+    for kind, numbered in ((_TOKENS, False), (_EDGES, True)):
+        assert _list_array((), kind, numbered).to_pylist() == [] and _list_array([None], kind, numbered).to_pylist() == [None]
+
+
 def test_run_tasks(spark, manifest, pages, tmp_path):
     tasks = parse_tasks(read_manifest(spark, manifest, app(), str(tmp_path)))
     results = run_tasks(tasks, pages, ANNOTATORS, partitions=3, work_dir=str(tmp_path))
