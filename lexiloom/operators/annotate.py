@@ -9,12 +9,16 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # The analyses a task may ask for.
 ANALYSES = ("POS", "CONSTITUENCY", "DEPENDENCY")
 
+#: Sentences of short documents that are annotated together.
+SENTENCES = 4096
+
 # What an annotator yields for every sentence it finds in a piece of text:
 #   POS           a list of (word, tag)
 #   DEPENDENCY    a list of (relation, governor, dependent), in the parser's order
@@ -204,3 +208,48 @@ def annotate(
             )
 
     return sentences.mapInArrow(run, schema)
+
+
+def annotate_documents(documents: DataFrame, annotators: Mapping[str, AnnotatorFactory]) -> DataFrame:
+    """Put ``annotated`` in the place of ``sentences`` (an array of ``sent_no, sentence``) in rows with ``analysis``.
+
+    It holds what ``annotate`` gives for these sentences, in order, as an array of ``sent_no, part_no, tokens, edges, tree, error``, so the lines
+    of a document need not be brought together again. A document is annotated whole, which is meant for short ones; of
+    short ones, some ``SENTENCES`` sentences at a time.
+    """
+    rest = [field for field in documents.schema.fields if field.name != "sentences"]
+    entry = f"struct<sent_no:int,part_no:int,tokens:{TOKENS},edges:{EDGES},tree:string,error:string>"
+    schema = T.StructType(rest + T.StructType.fromDDL(f"annotated array<{entry}>").fields)
+    names = ["sent_no", "part_no", "tokens", "edges", "tree", "error"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built = _Built(annotators)
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column("sentences")), 0).to_numpy()
+            groups = np.cumsum(sizes) // SENTENCES
+            starts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(sizes)]
+            for start, end in zip(starts, starts[1:]):
+                part, own = batch.slice(start, end - start), sizes[start:end]
+                flat = part.column("sentences").flatten()
+                analyses = np.repeat(np.array(part.column("analysis").to_pylist(), object), own).tolist()
+                found = _all(built, annotators, analyses, flat.field("sentence").to_pylist())
+                counts = np.array([len(new) for new in found], np.int64)
+                rows = [row for new in found for row in new]
+                part_no, tokens, edges, tree, error = zip(*rows) if rows else ((),) * 5
+                entries = pa.StructArray.from_arrays(
+                    [
+                        flat.field("sent_no").take(pa.array(np.repeat(np.arange(len(found)), counts))),
+                        pa.array(part_no, pa.int32()),
+                        _list_array(tokens, _TOKENS),
+                        _list_array(edges, _EDGES, numbered=True),
+                        pa.array(tree, pa.string()),
+                        pa.array(error, pa.string()),
+                    ],
+                    names=names,
+                )
+                ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(own)])]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+                kept = [part.column(field.name) for field in rest]
+                yield pa.RecordBatch.from_arrays([*kept, lists], names=[field.name for field in schema.fields])
+
+    return documents.mapInArrow(run, schema)

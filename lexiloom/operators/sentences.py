@@ -25,6 +25,14 @@ def sentences(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.filter(F.length("sentence").between(MIN_LENGTH, MAX_LENGTH))
 
 
+def sentence_list(text: str = "text") -> Column:
+    """The sentences of a text, as ``sentences`` gives them, in an array of ``sent_no, sentence``."""
+    pieces = F.transform(
+        F.split(text, SENTENCE_END), lambda piece, i: F.struct(i.alias("sent_no"), strip_control(piece).alias("sentence"))
+    )
+    return F.filter(pieces, lambda p: F.length(p["sentence"]).between(MIN_LENGTH, MAX_LENGTH))
+
+
 def pos_line(tokens: Column) -> Column:
     """``word/TAG `` for every token, a blank after the last one too."""
     return F.array_join(
@@ -55,12 +63,21 @@ def constituency_lines(annotated: DataFrame) -> DataFrame:
 
 def annotation_lines(annotated: DataFrame) -> DataFrame:
     """The line of whichever annotation a row has; skipped sentences have none."""
-    line = (
-        F.when(F.col("tokens").isNotNull(), pos_line(F.col("tokens")))
-        .when(F.col("edges").isNotNull(), dependency_line(F.col("edges")))
-        .when(F.col("tree").isNotNull(), F.col("tree"))
+    return annotated.withColumn("line", _any_line(F.col("tokens"), F.col("edges"), F.col("tree")))
+
+
+def _any_line(tokens: Column, edges: Column, tree: Column) -> Column:
+    return (
+        F.when(tokens.isNotNull(), pos_line(tokens))
+        .when(edges.isNotNull(), dependency_line(edges))
+        .when(tree.isNotNull(), tree)
     )
-    return annotated.withColumn("line", line)
+
+
+def document_output(annotated: Column) -> Column:
+    """The lines of a document whose annotations are one array, joined in order."""
+    lines = F.transform(annotated, lambda a: _any_line(a["tokens"], a["edges"], a["tree"]))
+    return F.array_join(F.transform(F.filter(lines, lambda x: x.isNotNull()), lambda x: F.concat(x, F.lit("\n"))), "")
 
 
 def document_lines(lines: DataFrame, keys: list[str]) -> DataFrame:

@@ -153,15 +153,28 @@ def requested_documents(tasks: DataFrame, pages: DataFrame) -> DataFrame:
     return analyses.join(pages.select("url", "text"), "url").select("url", "text", "analyses")
 
 
+def asked_documents(tasks: DataFrame) -> DataFrame:
+    """``analysis, url, app_id, line_no`` for everything that valid tasks ask for: the task, if it is the only one, else nulls."""
+    asked = tasks.filter(F.col("error").isNull()).groupBy("analysis", "url")
+    only = F.count(F.lit(1)) == 1
+    return asked.agg(*(F.when(only, F.min(name)).alias(name) for name in TASK))
+
+
 def task_results(tasks: DataFrame, pages: DataFrame, outputs: DataFrame) -> DataFrame:
     """``app_id, line_no, analysis, url, output, error, ok`` for every task, failed or not.
 
-    ``outputs`` has ``analysis, url, output``, ``pages`` the requested ones, one row per
-    URL. A document without any line of annotation is a failure of the task.
+    ``outputs`` has ``analysis, url, app_id, line_no, output``, one row for all of ``asked_documents`` that ``pages`` holds; ``pages`` are the
+    requested ones, one row per URL. An output that one task alone asked for lies beside that task, and only the others are joined to theirs.
+    A document without any line of annotation is a failure of the task.
     """
+    alone = outputs.filter("line_no IS NOT NULL")
     known = pages.select("url", F.lit(True).alias("known"))
-    rows = tasks.join(outputs.select("analysis", "url", "output"), ["analysis", "url"], "left")
-    rows = rows.join(known, "url", "left")
+    shared = outputs.filter("line_no IS NULL").select("analysis", "url", "output")
+    direct = alone.select(*TASK, "analysis", "url", "output", F.lit(None).cast("string").alias("error"), F.lit(True).alias("known"))
+    served = alone.select(F.col("app_id").alias("app"), F.col("line_no").alias("line"))
+    rows = tasks.join(served, F.col("app_id").eqNullSafe(F.col("app")) & (F.col("line_no") == F.col("line")), "left_anti")
+    rows = rows.join(shared, ["analysis", "url"], "left")
+    rows = rows.join(known, "url", "left").select(*direct.columns).unionByName(direct)
     error = F.coalesce(
         F.col("error"),
         F.when(F.col("known").isNull(), F.concat(F.lit("document not available: "), F.col("url"))),

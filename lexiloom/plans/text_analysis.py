@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.operators.annotate import AnnotatorFactory, annotate, rebalance
-from lexiloom.operators.sentences import annotation_lines, document_lines, sentences
+from lexiloom.operators.annotate import AnnotatorFactory, annotate, annotate_documents, rebalance
+from lexiloom.operators.sentences import annotation_lines, document_lines, document_output, sentence_list, sentences
 from lexiloom.operators.tasks import (
+    asked_documents,
     parse_tasks,
     requested_documents,
     requested_pages,
@@ -19,6 +20,9 @@ from lexiloom.session import materialize
 from lexiloom.sources.manifests import read_manifest
 from lexiloom.sources.pages import PageStore
 
+#: Code points of a text whose sentences are spread over many tasks.
+LONG_TEXT = 1 << 16
+
 
 def annotated_lines(
     tasks: DataFrame,
@@ -37,6 +41,30 @@ def annotated_lines(
     return annotation_lines(annotate(rows, annotators))
 
 
+def document_outputs(
+    asked: DataFrame,
+    pages: DataFrame,
+    annotators: Mapping[str, AnnotatorFactory],
+    partitions: int | None = None,
+) -> DataFrame:
+    """``analysis, url, app_id, line_no, output`` for all of ``asked`` (see ``asked_documents``) that ``pages`` holds.
+
+    The sentences of a document stay in its row, so no line is shuffled. Those of a text of more than ``LONG_TEXT`` code points
+    become rows of their own, are annotated by many tasks and brought together.
+    """
+    wants = asked.groupBy("url").agg(F.collect_list(F.struct("analysis", "app_id", "line_no")).alias("wants"))
+    long = F.length("text") > LONG_TEXT
+    short_docs = pages.filter(~long).join(wants, "url").select("url", "wants", sentence_list("text").alias("sentences"))
+    if partitions:
+        short_docs = rebalance(short_docs, partitions)
+    short_docs = short_docs.select("url", F.inline("wants"), "sentences")
+    short = annotate_documents(short_docs, annotators).select(*asked.columns, document_output(F.col("annotated")).alias("output"))
+    docs = pages.filter(long).join(wants, "url").select("url", "text", F.inline("wants"))
+    lines = annotation_lines(annotate(sentences(docs.select("analysis", "url", "text")), annotators, partitions))
+    joined = document_lines(lines, ["analysis", "url"]).select("analysis", "url", "output")
+    return short.unionByName(docs.select(*asked.columns).join(joined, ["analysis", "url"], "left"))
+
+
 def run_tasks(
     tasks: DataFrame,
     pages: DataFrame | PageStore,
@@ -54,8 +82,7 @@ def run_tasks(
     if isinstance(pages, PageStore):
         pages = pages.holding(tasks.filter("error IS NULL").select("url"))
     pages = materialize(requested_pages(tasks, pages, work_dir), "requested-pages", work_dir)
-    lines = annotated_lines(tasks, pages, annotators, partitions)
-    outputs = materialize(document_lines(lines, ["analysis", "url"]), "outputs", work_dir)
+    outputs = materialize(document_outputs(asked_documents(tasks), pages, annotators, partitions), "outputs", work_dir)
     return task_results(tasks, pages, outputs)
 
 

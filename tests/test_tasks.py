@@ -10,7 +10,7 @@ from lexiloom.operators.sentences import (
     pos_lines,
     sentences,
 )
-from lexiloom.operators.tasks import app_progress, dedupe_results, parse_tasks, task_summary
+from lexiloom.operators.tasks import app_progress, asked_documents, dedupe_results, parse_tasks, task_summary
 from lexiloom.plans.text_analysis import run_tasks, text_analysis_job
 from lexiloom.sources.manifests import read_manifest, write_annotations
 from lexiloom.streaming.tasks import read_results, start_results, stream_lines
@@ -288,3 +288,30 @@ def test_text_analysis_job(spark, manifest, pages, tmp_path):
     results = text_analysis_job(spark, manifest, pages, ANNOTATORS, out, 2, str(tmp_path / "w"))
     assert results.count() == len(MANIFEST) + 3
     assert results.filter("app_id LIKE '%two.txt' AND ok").count() == 2
+
+
+def test_no_line_or_output_of_a_task_alone_is_shuffled(spark, manifest, pages, tmp_path, monkeypatch):
+    from lexiloom.plans import text_analysis
+
+    seen = {}
+    real = text_analysis.materialize
+    monkeypatch.setattr(text_analysis, "materialize", lambda df, label, *rest: (seen.update({label: df}), real(df, label, *rest))[1])
+    tasks = parse_tasks(read_manifest(spark, manifest, app(), str(tmp_path)))
+    run_tasks(tasks, pages, ANNOTATORS, work_dir=str(tmp_path)).collect()
+    plan = seen["outputs"]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("MapInArrow")]
+    alone = asked_documents(tasks).filter("line_no IS NOT NULL").count()
+    assert 0 < alone < asked_documents(tasks).count()
+
+
+@pytest.mark.parametrize("long_text", [0, 30])
+def test_long_texts_give_the_same_results(spark, manifest, pages, tmp_path, rows, monkeypatch, long_text):
+    from lexiloom.plans import text_analysis
+
+    tasks = parse_tasks(read_manifest(spark, manifest, app(), str(tmp_path)))
+    # An app without a name, and the same task twice.
+    tasks = tasks.unionByName(tasks.withColumn("app_id", F.lit(None).cast("string"))).unionByName(tasks.limit(2))
+    expected = rows(run_tasks(tasks, pages, ANNOTATORS, work_dir=str(tmp_path)))
+    assert len(expected) == tasks.count()
+    monkeypatch.setattr(text_analysis, "LONG_TEXT", long_text)
+    assert rows(run_tasks(tasks, pages, ANNOTATORS, 2, str(tmp_path))) == expected
