@@ -31,6 +31,7 @@ from lexiloom.sources.pages import write_pages
 from lexiloom.streaming.tasks import (
     app_states,
     latest_progress,
+    merge_deliveries,
     read_results,
     read_tasks,
     start_progress,
@@ -176,8 +177,8 @@ def task_results(spark: SparkSession, sf: str) -> DataFrame:
 
 def task_summary_query(spark: SparkSession, sf: str) -> DataFrame:
     """Results delivered twice, one summary row per task."""
-    delivered = materialize(results(spark, sf), "results")
-    return task_summary(dedupe_results(delivered.unionByName(delivered)))
+    delivered = results(spark, sf)
+    return task_summary(merge_deliveries([delivered, delivered]))
 
 
 def dedupe_results_query(spark: SparkSession, sf: str) -> DataFrame:

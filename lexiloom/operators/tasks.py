@@ -47,8 +47,9 @@ def requested_pages(
     pages: DataFrame,
     work_dir: str | None = None,
     max_rows: int = MAX_BROADCAST_ROWS,
+    written: bool = False,
 ) -> DataFrame:
-    """``url, text`` of the pages that valid tasks ask for, one row per URL.
+    """``url, text`` of the pages that valid tasks ask for, one row per URL; on request a written table.
 
     Pages are cut to the wanted URLs before any text is shuffled: by a broadcast if a count shows that the
     URLs fit one, else by their places in the files (``late_pages``). Of several pages
@@ -58,10 +59,11 @@ def requested_pages(
     if fits_broadcast(wanted, max_rows):
         found = pages.select("url", "text").join(F.broadcast(wanted), "url", "left_semi")
     elif has_places(pages):
-        return late_pages(wanted, pages, work_dir, max_rows)
+        return late_pages(wanted, pages, work_dir, max_rows, written)
     else:
         found = pages.select("url", "text").join(wanted, "url", "left_semi")
-    return found.filter("text IS NOT NULL").groupBy("url").agg(F.min("text").alias("text"))
+    found = found.filter("text IS NOT NULL").groupBy("url").agg(F.min("text").alias("text"))
+    return materialize(found, "requested-pages", work_dir) if written else found
 
 
 def has_places(df: DataFrame) -> bool:
@@ -71,13 +73,16 @@ def has_places(df: DataFrame) -> bool:
     return len(found) == 1 and "row_index" in list(found[0].dataType().fieldNames())
 
 
-def late_pages(wanted: DataFrame, pages: DataFrame, work_dir: str | None, max_rows: int) -> DataFrame:
+def late_pages(
+    wanted: DataFrame, pages: DataFrame, work_dir: str | None, max_rows: int, written: bool = False
+) -> DataFrame:
     """``url, text`` of ``pages``, a table read from files, whose ``url`` is ``wanted``: places first, texts last.
 
     Only URLs and places (file and row) are shuffled to find the wanted rows. Their places are then gathered into one row for
     every ``CHUNK_ROWS`` rows of a file, and blocks of files with at most ``max_rows`` of these (at most ``MAX_CHUNKS``) are fetched one after
     another by a broadcast join, so every block reads its own files only, a file is read once unless it has more rows than that, and
-    no text moves. Only texts of URLs that occur more than once are compared, by URL.
+    no text moves. Only texts of URLs that occur more than once are compared, by URL. A text is written once as it is fetched;
+    with ``written``, what is left of the compared ones too.
     """
     spark = pages.sparkSession
     places = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
@@ -109,7 +114,7 @@ def late_pages(wanted: DataFrame, pages: DataFrame, work_dir: str | None, max_ro
     fetched = spark.read.schema(schema).parquet(out) if sizes else spark.createDataFrame([], schema)
     single = fetched.filter("NOT repeated").select("url", "text")
     several = fetched.filter("repeated").groupBy("url").agg(F.min("text").alias("text"))
-    return single.unionByName(several)
+    return single.unionByName(materialize(several, "repeated-pages", work_dir) if written else several)
 
 
 def file_blocks(sizes: list[tuple[str, int]], max_rows: int) -> Iterator[tuple[list[str], int, int]]:

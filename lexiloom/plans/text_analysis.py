@@ -81,7 +81,7 @@ def run_tasks(
     """
     if isinstance(pages, PageStore):
         pages = pages.holding(tasks.filter("error IS NULL").select("url"))
-    pages = materialize(requested_pages(tasks, pages, work_dir), "requested-pages", work_dir)
+    pages = requested_pages(tasks, pages, work_dir, written=True)
     outputs = materialize(document_outputs(asked_documents(tasks), pages, annotators, partitions), "outputs", work_dir)
     return task_results(tasks, pages, outputs)
 

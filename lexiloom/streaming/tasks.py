@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from lexiloom.operators.annotate import AnnotatorFactory
 from lexiloom.operators.tasks import TASK, parse_tasks
 from lexiloom.plans.text_analysis import run_tasks
-from lexiloom.session import folder_names, is_complete, read_note, remove_folder, write_note
+from lexiloom.session import folder_names, is_complete, materialize, read_note, remove_folder, write_note
 from lexiloom.sources.manifests import number_lines, placed_lines
 from lexiloom.sources.pages import PageStore
 from lexiloom.streaming import ledger
@@ -140,13 +140,31 @@ def new_tasks(tasks: DataFrame, accepted: str, number: int) -> DataFrame:
         return tasks
     buckets = [r[0] for r in tasks.select(_bucket().alias("b")).distinct().collect()]
     seen = ledger.read_before(tasks.sparkSession, accepted, number, RUNS).filter(F.col("app_bucket").isin(buckets))
-    chunks = seen.select(
+    return outside_runs(tasks, seen)
+
+
+def outside_runs(tasks: DataFrame, runs: DataFrame) -> DataFrame:
+    """``tasks`` that lie in none of the ``runs``."""
+    chunks = runs.select(
         F.col("app_id").alias("app"), "first", "last", F.explode(F.sequence(_chunk("first"), _chunk("last"))).alias("chunk")
     )
     same = (F.col("app_id") == F.col("app")) & (_chunk("line_no") == F.col("chunk"))
     return tasks.join(chunks, same & F.col("line_no").between(F.col("first"), F.col("last")), "left_anti")
 
 
+def merge_deliveries(deliveries: Sequence[DataFrame], work_dir: str | None = None) -> DataFrame:
+    """One result per task from tables of results that hold a task at most once each; the first one that has it counts.
+
+    What earlier deliveries hold is written as runs of lines, a few rows that Spark broadcasts to the next one, so no output
+    is moved. For very scattered tasks there are many runs, and Spark shuffles. Give tables that are cheap to read twice.
+    """
+    merged, *later = deliveries
+    for delivery in later:
+        runs = materialize(task_runs(merged), "delivered-runs", work_dir)
+        merged = merged.unionByName(outside_runs(delivery, runs))
+    return merged
+
+
 def start_results(
     lines: DataFrame,
     pages: DataFrame | PageStore,

@@ -220,3 +220,30 @@ def test_file_blocks():
     blocks = list(file_blocks(sizes, 10))
     assert blocks == [(["a", "b"], 1, 0), (["c"], 3, 0), (["c"], 3, 1), (["c"], 3, 2), (["d", "e"], 1, 0), (["f"], 1, 0)]
     assert list(file_blocks([], 10)) == []
+
+
+def test_deliveries_are_merged_without_moving_outputs(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 4)
+    name = "IF(id % 2 = 0, 'a', 'b') AS app_id", "id AS line_no"
+    first = spark.range(40).filter("id % 7 <> 3").selectExpr(*name, "concat('first ', id) AS output")
+    second = spark.range(50).selectExpr(*name, "concat('second ', id) AS output")
+    third = spark.range(45, 60).selectExpr(*name, "concat('third ', id) AS output")
+    merged = S.merge_deliveries([first, second, third], str(tmp_path))
+    which = ["first" if k < 40 and k % 7 != 3 else "second" if k < 50 else "third" for k in range(60)]
+    assert rows(merged) == sorted([(("a", "b")[k % 2], k, f"{which[k]} {k}") for k in range(60)], key=repr)
+    text = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.count("LeftAnti, BuildRight") == 2 and "SortMergeJoin" not in text and "Aggregate" not in text
+    assert rows(S.merge_deliveries([first])) == rows(first)
+
+
+def test_fetched_texts_are_written_once(spark, tmp_path, rows):
+    path = str(tmp_path / "pages")
+    spark.createDataFrame([(f"doc://{i % 25}", f"t{i}") for i in range(30)], "url string, text string").write.parquet(path)
+    table = spark.read.parquet(path)
+    tasks = spark.createDataFrame([("a", k, "POS", f"doc://{k}", None) for k in range(20)], "app_id string, line_no long, analysis string, url string, error string")
+    found = requested_pages(tasks, table, str(tmp_path), max_rows=3, written=True)
+    assert rows(found) == rows(requested_pages(tasks, table, str(tmp_path), written=True))
+    fetched, = tmp_path.glob("wanted-pages-*")
+    (compared,) = tmp_path.glob("repeated-pages-*")
+    assert spark.read.parquet(str(fetched)).count() == 25 and spark.read.parquet(str(compared)).count() == 5
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
