@@ -143,3 +143,21 @@ def test_a_ranking_has_a_bounded_last_step(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     expected = [sorted(str(i) for i in range(d, 4000, 2) if i % 97 == 96)[:5] for d in (0, 1)]
     assert found == [(w, k) for own in expected for k, w in enumerate(own, 1)]
+
+
+def test_lines_of_two_folders_are_made_once(spark, monkeypatch):
+    made, given = [], []
+    real = corpus.ngram_lines
+    monkeypatch.setattr(corpus, "ngram_lines", lambda spark, sf, n: (made.append(n), real(spark, sf, n))[1])
+
+    def job(spark, pairs, words, *rest, **more):
+        given.extend([pairs, words])
+        raise InterruptedError
+
+    monkeypatch.setattr(corpus, "collocation_job", job)
+    with pytest.raises(InterruptedError):
+        corpus.collocation_job_files(spark, SF)
+    assert sorted(made) == [1, 2]
+    for n, folders in ((2, given[0]), (1, given[1])):
+        halves = [spark.read.text(folder).count() for folder in folders]
+        assert len(halves) == 2 and all(halves) and sum(halves) == real(spark, SF, n).count()
