@@ -145,6 +145,11 @@ def test_a_ranking_has_a_bounded_last_step(spark):
     assert found == [(w, k) for own in expected for k, w in enumerate(own, 1)]
 
 
+def test_lines_are_made_without_a_formatter(spark):
+    for df in (corpus.ngram_lines(spark, SF, 1), corpus.ngram_lines(spark, SF, 2), paths.biarc_lines(spark, SF)):
+        assert "format_string" not in plan(df) and df.filter("value IS NULL").isEmpty()
+
+
 def test_lines_of_two_folders_are_made_once(spark, monkeypatch):
     made, given = [], []
     real = corpus.ngram_lines
