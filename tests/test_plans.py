@@ -4,9 +4,11 @@ import pytest
 from checks import corpus, paths, tasks
 
 from lexiloom.operators.collocations import join_counts
+from lexiloom.operators.joins import MAX_BROADCAST_ROWS, lookup
+from lexiloom.operators.similarity import mutual_information_scores, path_totals, slot_totals, word_totals
 from lexiloom.operators.topk import top_k
 from lexiloom.plans.collocations import collocations
-from lexiloom.session import spread, work_path
+from lexiloom.session import materialize, spread, work_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -166,3 +168,45 @@ def test_lines_of_two_folders_are_made_once(spark, monkeypatch):
     for n, folders in ((2, given[0]), (1, given[1])):
         halves = [spark.read.text(folder).count() for folder in folders]
         assert len(halves) == 2 and all(halves) and sum(halves) == real(spark, SF, n).count()
+
+
+def test_large_totals_of_paths_and_fillers_are_hashed(spark, tmp_path, no_small_tables):
+    """Counts are not sorted for the joins with their totals; a hot filler is still split."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = 2 * MAX_BROADCAST_ROWS
+        spark.range(n, numPartitions=8).selectExpr(
+            "concat('p', id) AS path", "'X' AS slot", "IF(id % 7 = 0, 'hot', concat('w', id)) AS word", "id % 5 + 1 AS n_psw"
+        ).write.parquet(str(tmp_path / "counts"))
+        counts = spark.read.parquet(str(tmp_path / "counts"))
+        paths_ = materialize(path_totals(counts), "paths", str(tmp_path))
+        words = materialize(word_totals(counts), "words", str(tmp_path))
+        scores = mutual_information_scores(counts, paths_, words, slot_totals(words))
+        found = scores.selectExpr("count(1)", "count(DISTINCT path)", "round(sum(mi), 3)").first()
+        text = plan(scores)
+        assert text.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in text
+        scores.collect()
+        assert "ShuffledHashJoin(skew=true)" in plan(scores)
+        # Sorted, as for a few rows.
+        sums = counts.selectExpr("*", "sum(n_psw) OVER (PARTITION BY path) AS p", "sum(n_psw) OVER (PARTITION BY word) AS w", "sum(n_psw) OVER () AS s")
+        assert found == sums.selectExpr("count(1)", "count(DISTINCT path)", "round(sum(ln(n_psw * s / (p * w))), 3)").first()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
+def test_only_tables_that_fit_are_hashed(spark):
+    """A hash table can not spill, so one with too many rows a partition is left to be sorted."""
+    keys = spark.range(100)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashed = [lookup(keys, small, bound) is not keys for small, bound in ((99, 100), (100, 100), (99, 100 // partitions - 1))]
+    assert hashed == [True, False, False]
