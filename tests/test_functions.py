@@ -154,3 +154,18 @@ def test_sql_functions(spark, stop):
     assert (row.d, row.w, row.a, row.b, row.c, row.n, row.z) == (
         "0s", "Robin", True, False, True, False, 0.0,
     )
+
+
+@pytest.mark.parametrize(
+    "text, stripped",
+    [("", ""), ("\x1f", ""), ("!", "!"), (" !", "!"), ("a\x00", "a"), ("\x7fa\u00a0", "\x7fa\u00a0"), ("é ", "é"), ("\n\U0001f600", "\U0001f600"), (None, None)],
+)
+def test_strip_control_looks_at_both_ends(spark, text, stripped):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(strip_control(F.col("t"))).first()[0] == stripped
+
+
+def test_strip_control_strips_only_where_there_is_something(spark):
+    """Stripping is the costly branch: a plain word does not take it."""
+    shown = spark.range(1).selectExpr("string(id) AS t").select(strip_control(F.col("t"))).columns[0]
+    assert shown.startswith("CASE WHEN") and shown.count("trim(") == 1

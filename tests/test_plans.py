@@ -4,7 +4,7 @@ import pytest
 from checks import corpus, paths, tasks
 
 from lexiloom.operators.collocations import join_counts
-from lexiloom.operators.joins import MAX_BROADCAST_ROWS, lookup
+from lexiloom.operators.joins import SORTED_ROWS, lookup
 from lexiloom.operators.similarity import mutual_information_scores, path_totals, slot_totals, word_totals
 from lexiloom.operators.topk import top_k
 from lexiloom.plans.collocations import collocations
@@ -183,7 +183,7 @@ def test_large_totals_of_paths_and_fillers_are_hashed(spark, tmp_path, no_small_
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        n = 2 * MAX_BROADCAST_ROWS
+        n = SORTED_ROWS * 8 // 5
         spark.range(n, numPartitions=8).selectExpr(
             "concat('p', id) AS path", "'X' AS slot", "IF(id % 7 = 0, 'hot', concat('w', id)) AS word", "id % 5 + 1 AS n_psw"
         ).write.parquet(str(tmp_path / "counts"))
@@ -210,3 +210,15 @@ def test_only_tables_that_fit_are_hashed(spark):
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hashed = [lookup(keys, small, bound) is not keys for small, bound in ((99, 100), (100, 100), (99, 100 // partitions - 1))]
     assert hashed == [True, False, False]
+
+
+def test_large_word_counts_are_hashed(spark, tmp_path, no_small_tables, rows):
+    """Pairs are not sorted for the joins with the counts of their words."""
+    n = SORTED_ROWS * 8 // 5
+    words = materialize(spark.range(n).selectExpr("'d' AS decade", "concat('w', id) AS word", "id % 3 AS c"), "words", str(tmp_path))
+    totals = spark.createDataFrame([("d", 9 * n)], "decade string, n long")
+    pairs = spark.range(0, n, 500).selectExpr("'d' AS decade", "concat('w', id) AS w1", "concat('w', id + 1) AS w2", "1L AS c12")
+    hashed, lazy = join_counts(pairs, words, totals), join_counts(pairs, words, totals, max_broadcast_rows=None)
+    assert plan(hashed).count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan(hashed)
+    assert "ShuffledHashJoin" not in plan(lazy)
+    assert rows(hashed) == rows(lazy) and hashed.count() > 500
