@@ -42,11 +42,12 @@ def pos_line(tokens: Column) -> Column:
 
 def dependency_line(edges: Column) -> Column:
     """``rel(gov, dep)`` on a line of its own for every edge, in edge order."""
-    line = "%s(%s, %s)\n"
-    lines = F.transform(
-        F.array_sort(edges), lambda e: F.format_string(line, e["rel"], e["gov"], e["dep"])
-    )
-    return F.array_join(lines, "")
+
+    def line(edge: Column) -> Column:
+        rel, gov, dep = (F.coalesce(edge[name], F.lit("null")) for name in ("rel", "gov", "dep"))
+        return F.concat(rel, F.lit("("), gov, F.lit(", "), dep, F.lit(")\n"))
+
+    return F.array_join(F.transform(F.array_sort(edges), line), "")
 
 
 def pos_lines(annotated: DataFrame) -> DataFrame:

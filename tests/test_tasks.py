@@ -315,3 +315,10 @@ def test_long_texts_give_the_same_results(spark, manifest, pages, tmp_path, rows
     assert len(expected) == tasks.count()
     monkeypatch.setattr(text_analysis, "LONG_TEXT", long_text)
     assert rows(run_tasks(tasks, pages, ANNOTATORS, 2, str(tmp_path))) == expected
+
+
+def test_dependency_lines_are_made_without_a_formatter(spark):
+    edges = [(1, "dobj", "saw", None), (0, None, "%s", "J")]
+    df = dependency_lines(spark.createDataFrame([(edges,), ([],), (None,)], "edges array<struct<pos:int,rel:string,gov:string,dep:string>>"))
+    assert [row.line for row in df.collect()] == ["null(%s, J)\ndobj(saw, null)\n", "", None]
+    assert "format_string" not in df._jdf.queryExecution().executedPlan().toString()
