@@ -32,6 +32,7 @@ def files(folder: Path, label: str) -> list[str]:
 # Queries and the folders of lines that they build or write.
 WRITTEN = {
     "collocation_job_files": ["lines1", "lines2", "job"],
+    "biarc_parse": ["biarcs"],
 }
 
 
@@ -62,3 +63,12 @@ def test_a_rank_without_bound_moves_rows_once(spark, rows):
     assert plan(every).count("Exchange") == 1 and plan(few).count("Exchange") == 2
     assert rows(every) == rows(few) and every.count() == 500
     assert plan(top_k(df, MAX_RANK // PARTS, "score", ["g"], ["id"])).count("Exchange") == 2
+
+
+def test_key_of_parsed_lines_travels_as_one_string(spark, monkeypatch, rows, lines):
+    text = ["b\ta/NN/nsubj/2 b/VBZ/ROOT/0\t3\t1990,1", "b\ta/NN/nsubj/2 b/VBZ/ROOT/0\t4", "b\t/NN/nsubj/0\t1", "\ta a/NN/x/1\t1", "\t/NN/x/1 c/d/NN/x/1\t1\t1990,2"]
+    monkeypatch.setattr(paths, "biarcs", lambda spark, sf: paths.read_biarcs(spark, sf))
+    monkeypatch.setattr(type(spark.read), "text", lambda self, path: lines(*text))
+    df = paths.biarc_parse(spark, "")
+    assert plan(df).count("hashpartitioning(_groupingexpression") == 1
+    assert rows(df) == [("", " c/d", "NN NN", "1 1", 1, 2), ("b", "", "NN", "0", 1, 0), ("b", "a b", "NN VBZ", "2 0", 7, 1)]
