@@ -72,3 +72,9 @@ def test_key_of_parsed_lines_travels_as_one_string(spark, monkeypatch, rows, lin
     df = paths.biarc_parse(spark, "")
     assert plan(df).count("hashpartitioning(_groupingexpression") == 1
     assert rows(df) == [("", " c/d", "NN NN", "1 1", 1, 2), ("b", "", "NN", "0", 1, 0), ("b", "a b", "NN VBZ", "2 0", 7, 1)]
+
+
+def test_slot_counts_are_kept_by_the_smaller_codec(spark, shared):
+    assert not paths.scores(spark, SF).isEmpty()
+    found = files(shared, "counts")
+    assert found and all(f.endswith(".zstd.parquet") for f in found)
