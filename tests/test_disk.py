@@ -33,6 +33,7 @@ def files(folder: Path, label: str) -> list[str]:
 WRITTEN = {
     "collocation_job_files": ["lines1", "lines2", "job"],
     "biarc_parse": ["biarcs"],
+    "normalize_paths": ["biarcs"],
 }
 
 
