@@ -34,6 +34,7 @@ WRITTEN = {
     "collocation_job_files": ["lines1", "lines2", "job"],
     "biarc_parse": ["biarcs"],
     "normalize_paths": ["biarcs"],
+    "extract_paths": ["biarcs"],
 }
 
 
