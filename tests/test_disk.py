@@ -35,6 +35,7 @@ WRITTEN = {
     "biarc_parse": ["biarcs"],
     "normalize_paths": ["biarcs"],
     "extract_paths": ["biarcs"],
+    "path_similarity_job": ["biarcs"],
 }
 
 
