@@ -230,8 +230,8 @@ def annotation_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Lines written per analysis and read back, all three analyses in one run."""
     lines = annotated_lines(tasks(spark, sf), documents(spark, sf), ANNOTATORS, 8)
     path = work_path(spark, "annotations")
-    kept = lines.filter("line IS NOT NULL").select("analysis", "url", "sent_no", "part_no", "line")
-    write_annotations(kept, path, ["analysis"], ["url"], ["sent_no", "part_no"])
+    kept = lines.filter("line IS NOT NULL").select("analysis", "url", "sent_no", "part_no", "line", "together")
+    write_annotations(kept, path, ["analysis"], ["url"], ["sent_no", "part_no"], "together")
     back = spark.read.parquet(path)
     return back.groupBy("analysis", "url").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).alias("n_chars")

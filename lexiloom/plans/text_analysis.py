@@ -32,13 +32,20 @@ def annotated_lines(
 ) -> DataFrame:
     """Annotation lines of every (analysis, document) that some valid task asks for.
 
-    ``pages`` has one row per URL. Sentences are spread before they are repeated for every analysis.
+    ``pages`` has one row per URL. Documents are spread before they are repeated for every analysis, with their sentences in one
+    row, so all lines of a document are in one partition: ``together`` is true. Sentences of a text of more than ``LONG_TEXT``
+    code points are spread one by one, and their lines are not together.
     """
-    found = sentences(requested_documents(tasks, pages))
+    docs = requested_documents(tasks, pages)
+    long = F.length("text") > LONG_TEXT
+    short = docs.filter(~long).select("url", "analyses", sentence_list("text").alias("sentences"))
+    found = sentences(docs.filter(long))
     if partitions:
-        found = rebalance(found, partitions)
-    rows = found.select(F.explode("analyses").alias("analysis"), "url", "sent_no", "sentence")
-    return annotation_lines(annotate(rows, annotators))
+        short, found = rebalance(short, partitions), rebalance(found, partitions)
+    whole = short.select(F.explode("analyses").alias("analysis"), "url", "sentences").select("analysis", "url", F.inline("sentences"))
+    spread = found.select(F.explode("analyses").alias("analysis"), "url", "sent_no", "sentence")
+    parts = [annotation_lines(annotate(rows, annotators)).withColumn("together", F.lit(rows is whole)) for rows in (whole, spread)]
+    return parts[0].unionByName(parts[1])
 
 
 def document_outputs(

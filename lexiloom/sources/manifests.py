@@ -60,13 +60,22 @@ def read_manifest(
 
 
 def write_annotations(
-    lines: DataFrame, path: str, folders: list[str], document: list[str], order: list[str]
+    lines: DataFrame, path: str, folders: list[str], document: list[str], order: list[str], together: str | None = None
 ) -> None:
     """Annotated lines as Parquet, in a folder per value of ``folders``.
 
     The lines of a document stay together, in ``order``; a large folder spreads over as
     many files as the documents hash to. An existing output is an error.
+
+    ``together`` names a boolean column that is true where all lines of the document are in one partition already: those are
+    not shuffled, and a folder has a file per partition of them. Give it as a literal for every branch of a union
+    (``annotated_lines``), so that no line is computed twice. It is not written.
     """
     keys = [*folders, *document]
-    placed = lines.repartition(*keys).sortWithinPartitions(*keys, *order)
-    placed.write.partitionBy(*folders).parquet(path)
+    if together is None:
+        placed = lines.repartition(*keys)
+    else:
+        whole = F.coalesce(F.col(together), F.lit(False))
+        placed = lines.filter(whole).unionByName(lines.filter(~whole).repartition(*keys)).drop(together)
+    placed = placed.sortWithinPartitions(*keys, *order)
+    placed.write.partitionBy(*folders).parquet(path, compression="zstd")

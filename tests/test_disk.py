@@ -4,10 +4,13 @@ from pathlib import Path
 
 import pytest
 from checks import common, corpus, paths
+from checks.tasks import ANNOTATORS
 from pyspark.sql import functions as F
 
 from lexiloom import session
 from lexiloom.operators.topk import MAX_RANK, PARTS, top_k
+from lexiloom.plans import text_analysis
+from lexiloom.sources.manifests import write_annotations
 
 SF = "/root/testdata/sf0.001"
 
@@ -81,3 +84,29 @@ def test_slot_counts_are_kept_by_the_smaller_codec(spark, shared):
     assert not paths.scores(spark, SF).isEmpty()
     found = files(shared, "counts")
     assert found and all(f.endswith(".zstd.parquet") for f in found)
+
+
+@pytest.mark.parametrize("long_text", [1 << 16, 30, 0])
+def test_lines_of_short_texts_are_written_where_they_are_made(spark, tmp_path, rows, monkeypatch, long_text):
+    texts = [(f"doc://{d}", " ".join(f"Word {s} of text {d}." for s in range(d % 5 + 1))) for d in range(40)] + [("doc://no", None)]
+    pages = spark.createDataFrame(texts, "url string, text string")
+    asked = [(f"doc://{d}", analysis) for d in range(40) for analysis in list(ANNOTATORS)[: d % 3 + 1]] + [("doc://no", "POS")]
+    wanted = spark.createDataFrame(asked, "url string, analysis string").withColumn("error", F.lit(None).cast("string"))
+    monkeypatch.setattr(text_analysis, "LONG_TEXT", long_text)
+    made = text_analysis.annotated_lines(wanted, pages, ANNOTATORS, 3)
+    assert {r.together for r in made.select("together").distinct().collect()} == {1 << 16: {True}, 30: {True, False}, 0: {False}}[long_text]
+    names = ["analysis", "url", "sent_no", "part_no", "line"]
+    seen = []
+    real = type(spark.range(1)).sortWithinPartitions
+    monkeypatch.setattr(type(spark.range(1)), "sortWithinPartitions", lambda df, *keys: (seen.append(real(df, *keys)), seen[-1])[1])
+    write_annotations(made.select(*names, "together"), str(tmp_path / "out"), ["analysis"], ["url"], ["sent_no", "part_no"], "together")
+    # The branch of short texts has no exchange above the annotators, and neither branch is computed twice.
+    text = plan(seen[0])
+    assert text.count("MapInArrow") == 2
+    assert text[: text.index("MapInArrow")].count("Exchange") == 0
+    back = spark.read.parquet(str(tmp_path / "out"))
+    per_sentence = [(a, u, s) for u, a in asked if u != "doc://no" for s in range(int(u[6:]) % 5 + 1)]
+    assert sorted((r.analysis, r.url, r.sent_no) for r in back.collect()) == sorted(per_sentence)
+    assert rows(back.select(names)) == rows(made.select(names))
+    placed = back.select("*", F.input_file_name().alias("file")).groupBy("analysis", "url").agg(F.count_distinct("file").alias("n"))
+    assert placed.filter("n > 1").isEmpty()
