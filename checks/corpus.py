@@ -267,7 +267,7 @@ def collocations_tsv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     scored = scored_collocations(bigrams(spark, sf), unigrams(spark, sf))
     path = work_path(spark, "scored-tsv")
     columns = ["decade", "w1", "w2", "llr", "c12", "c1", "c2"]
-    write_tsv(scored, path, columns, order=["decade", F.desc("llr"), "w1", "w2"])
+    write_tsv(scored, path, columns, order=["decade", F.desc("llr"), "w1", "w2"], compression="gzip")
     read = finite_scores(read_collocations(spark, path))
     best = top_k(_rounded(read), K, "llr", ["decade"], ["w1", "w2"])
     return best.select("decade", "w1", "w2", "llr", "c12", "c1", "c2", "rank")

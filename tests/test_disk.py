@@ -39,6 +39,7 @@ WRITTEN = {
     "normalize_paths": ["biarcs"],
     "extract_paths": ["biarcs"],
     "path_similarity_job": ["biarcs"],
+    "collocations_tsv_roundtrip": ["scored-tsv"],
 }
 
 
