@@ -97,7 +97,7 @@ def ngram_lines(spark: SparkSession, sf: str, n: int) -> DataFrame:
 
 def ngram_parse(spark: SparkSession, sf: str, n: int) -> DataFrame:
     path = work_path(spark, f"lines{n}")
-    ngram_lines(spark, sf, n).write.text(path)
+    c.write_lines(ngram_lines(spark, sf, n), path)
     parsed = parse_ngrams(read_ngrams(spark, path), n)
     return parsed.groupBy("ngram", "year").agg(
         F.sum("count").alias("total"),
@@ -278,7 +278,7 @@ def collocations_from_lines(spark: SparkSession, sf: str) -> DataFrame:
     folders = {}
     for n in (1, 2):
         folders[n] = work_path(spark, f"lines{n}")
-        ngram_lines(spark, sf, n).write.text(folders[n])
+        c.write_lines(ngram_lines(spark, sf, n), folders[n])
     scored = scored_collocations(
         with_decade(valid_bigrams(parse_ngrams(read_ngrams(spark, [folders[2]]), 2), c.STOP)),
         with_decade(valid_unigrams(parse_ngrams(read_ngrams(spark, [folders[1]]), 1), c.STOP)),

@@ -40,6 +40,7 @@ WRITTEN = {
     "extract_paths": ["biarcs"],
     "path_similarity_job": ["biarcs"],
     "collocations_tsv_roundtrip": ["scored-tsv"],
+    "collocations_from_lines": ["lines1", "lines2"],
 }
 
 
