@@ -69,6 +69,7 @@ def test_a_rank_without_bound_moves_rows_once(spark, rows):
     df = spark.range(500).selectExpr("id % 3 AS g", "id % 7 AS score", "id")
     every, few = (top_k(df, k, "score", ["g"], ["id"]) for k in (MAX_RANK, 1000))
     assert plan(every).count("Exchange") == 1 and plan(few).count("Exchange") == 2
+    assert "Exchange" not in plan(every.select("g", "id"))
     assert rows(every) == rows(few) and every.count() == 500
     assert plan(top_k(df, MAX_RANK // PARTS, "score", ["g"], ["id"])).count("Exchange") == 2
 
